@@ -89,6 +89,11 @@ def plain_e(column: Column | str) -> Column:
     return F.regexp_replace(accents, "^([^�]*)�", "$1e")
 
 
+def cents(column: Column | str) -> Column:
+    """Two decimals, half to even, after float noise beyond the sixth decimal is cut off."""
+    return F.bround(_col(column).cast("decimal(24,6)"), 2).cast("double")
+
+
 def percent_number(column: Column | str) -> Column:
     """'12.5%' to 12.5."""
     return F.replace(_col(column), F.lit("%"), F.lit("")).try_cast("double")
