@@ -77,7 +77,7 @@ by_category as (select key, "Category",
   (pq + case when p - pq * 10000 > 5000 or (p - pq * 10000 = 5000 and pq % 2 <> 0) then 1 else 0 end) / 100.0
     as "Price",
   cast(split_part(key, '_', 1) as int) as fiscal, split_part(key, '_', 2) as destination,
-  cast(split_part(key, '_', 3) as int) as bidlineno from labelled)
+  cast(split_part(key, '_', 3) as int) as bidlineno from cent)
 """
 PERFORMANCE = """
 performance as (select key,
