@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workload import bid_queries, dashboard_queries, operator_queries, scorecard_queries
+from workload import bid_queries, dashboard_queries, model_queries, operator_queries, scorecard_queries
 
 DIGITS = 6
 # Moves exact ties (many prices end in 5 at the seventh digit) off the rounding edge, where the
 # last bit of a float sum would decide. Applied in both engines.
 OFFSET = 3.3e-8
-_ALL = {**bid_queries.QUERIES, **dashboard_queries.QUERIES, **scorecard_queries.QUERIES, **operator_queries.QUERIES}
+_ALL = {
+    **bid_queries.QUERIES,
+    **dashboard_queries.QUERIES,
+    **scorecard_queries.QUERIES,
+    **operator_queries.QUERIES,
+    **model_queries.QUERIES,
+}
 
 
 def _rounded(build):
