@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 def first_non_null(column: str, order: Sequence[str]) -> Column:
     """First non-null value in the order of `order` (ascending, nulls first), then by value."""
+    if column == order[0]:
+        return F.min(column)
     fields = [*order] if column in order else [*order, column]
     ranked = F.struct(*[F.col(c).alias("_value" if c == column else c) for c in fields])
     return F.min(F.when(F.col(column).isNotNull(), ranked)).getField("_value")

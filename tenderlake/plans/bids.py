@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import AWARD_PRICE_LIMIT, SERVED_BID_TYPES
-from tenderlake.functions.aggregates import first_per_key
+from tenderlake.functions.aggregates import first_non_null
 from tenderlake.functions.columns import bid_key
 from tenderlake.operators.joins import without_listed
 
@@ -31,7 +31,13 @@ def _award_rows(bids: DataFrame) -> DataFrame:
         "fiscal", "destination_no", "bid_line_no", "key",
         F.col("award_price_ty").alias("target"), F.col("bid_due_date").alias("date"),
     )
-    first = first_per_key(rows, ["fiscal", "destination_no", "bid_line_no", "key"], ["target", "date"])
+    # The key holds the line's parts, so grouping by it alone leaves the table partitioned for the
+    # feature joins.
+    order = ["target", "date"]
+    first = rows.groupBy("key").agg(
+        *[F.any_value(c).alias(c) for c in ("fiscal", "destination_no", "bid_line_no")],
+        *[first_non_null(c, order).alias(c) for c in order],
+    )
     return first.select("fiscal", "destination_no", "bid_line_no", "date", "key", "target")
 
 

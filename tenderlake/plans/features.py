@@ -6,17 +6,18 @@ partial aggregation first; only per-key (or smaller) tables are joined.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import CAPACITY_FACTOR, FILL_RATE_CALENDAR, HOUSE_ID, RIVAL_FLAG_IDS
-from tenderlake.functions.aggregates import first_per_key, single_valued
+from tenderlake.functions.aggregates import first_non_null, first_per_key, single_valued
 from tenderlake.functions.columns import bid_key, differs_from, ratio, starts_with_word
 from tenderlake.operators.joins import attach, previous_year, with_calendar
 from tenderlake.operators.windows import capacity_share, forward_fill
 
+TYPE_COLUMNS = ["sales_region_name", "product_name", "bid_type_name", "customer_type_name"]
 COST_COLUMNS = [
     "total_qty_ty", "distance_ty", "stockpile_depot_cost_ty", "direct_transfer_depot_cost_ty",
     "freight_cost_ty", "fuel_surcharge_cost_ty", "equipment_cost_ty", "committed_cost_ty",
@@ -31,10 +32,41 @@ def _priced(bids: DataFrame) -> DataFrame:
     return bids.where((F.col("award_price_ty") > 0) & (F.col("committed_price_ty") > 0))
 
 
+def _line_picks(bids: DataFrame) -> DataFrame:
+    """Everything taken as a minimum or first value per key, in one pass.
+
+    None of it depends on duplicates, so no distinct is needed; a caller that selects some of
+    the columns has the other aggregates pruned.
+    """
+    rows = _awarded(bids)
+    types = [first_non_null(c, TYPE_COLUMNS).alias(c) for c in TYPE_COLUMNS]
+    return rows.groupBy("key").agg(
+        *types,
+        F.min("rollover").alias("rollover"),
+        F.min("destination_state_prov").alias("state"),
+        F.min("bid_name").alias("bid_name"),
+    )
+
+
+def _only_bid_states(bids: DataFrame) -> DataFrame:
+    return (
+        _awarded(bids).select(F.col("destination_state_prov").alias("state"), "bid_line_no")
+        .dropna(subset=["state"])
+        .groupBy("state")
+        .agg(single_valued("bid_line_no").cast("int").alias("is_onlybid_in_state"))
+    )
+
+
+def _name_flags() -> list[Column]:
+    return [
+        starts_with_word("bid_name", "emergency").alias("is_emergency_bid"),
+        starts_with_word("bid_name", "supplemental").alias("is_supplemental_bid"),
+    ]
+
+
 def region_product_types(bids: DataFrame) -> DataFrame:
     """First sales region, product, bid type and customer type, in that column order."""
-    columns = ["sales_region_name", "product_name", "bid_type_name", "customer_type_name"]
-    return first_per_key(_awarded(bids).select("key", *columns), ["key"])
+    return _line_picks(bids).select("key", *TYPE_COLUMNS)
 
 
 def cost_qty_distance(bids: DataFrame) -> DataFrame:
@@ -127,7 +159,7 @@ def contract_timeframe(bids: DataFrame) -> DataFrame:
 
 def rollover_contract(bids: DataFrame) -> DataFrame:
     """First rollover flag, false before true."""
-    return _awarded(bids).groupBy("key").agg(F.min("rollover").alias("rollover"))
+    return _line_picks(bids).select("key", "rollover")
 
 
 def next_best_competitor(bids: DataFrame) -> DataFrame:
@@ -182,13 +214,17 @@ def won_quantity(bids: DataFrame) -> DataFrame:
     )
 
 
-def daily_fill_rate(bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR) -> DataFrame:
-    """Share of capacity used by each competitor on every calendar day of every fiscal year.
+def daily_fill_rate(
+    bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR, competitor: str | None = None
+) -> DataFrame:
+    """Share of capacity used on every calendar day of every fiscal year, by all or one competitor.
 
     Won days outside the calendar stay in. All windows run on one row per competitor and day,
     so their partitions are bounded by the calendar, not by the number of offers.
     """
     group = ["fiscal", "price_competitor_id"]
+    if competitor is not None:
+        bids = bids.where(F.col("price_competitor_id") == competitor)
     rates = capacity_share(won_quantity(bids), group, "bid_due_date", "total_qty_ty", CAPACITY_FACTOR)
     pairs = _due_offers(bids).select(*group).dropna().distinct()
     days = with_calendar(pairs, *calendar, "bid_due_date")
@@ -201,7 +237,7 @@ def fill_rate(bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR) -
 
     Won offers always find their own competitor and day, so only the house's days are looked up.
     """
-    house = daily_fill_rate(bids, calendar).where(F.col("price_competitor_id") == HOUSE_ID)
+    house = daily_fill_rate(bids, calendar, HOUSE_ID)
     house = house.select("fiscal", "bid_due_date", F.col("fill_rate").alias("fill_rate_CMP"))
     won = (
         _due_offers(bids).where(F.col("price_competitor_id") == F.col("award_competitor_id"))
@@ -213,32 +249,40 @@ def fill_rate(bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR) -
 
 
 def bid_flags(bids: DataFrame) -> DataFrame:
-    """Only bid line in its state; emergency or supplemental by the first bid name."""
-    rows = _awarded(bids).withColumnRenamed("destination_state_prov", "state")
-    states = (
-        rows.dropna(subset=["state"]).groupBy("state")
-        .agg(single_valued("bid_line_no").cast("int").alias("is_onlybid_in_state"))
-    )
-    keys = rows.groupBy("key").agg(F.min("state").alias("state"), F.min("bid_name").alias("bid_name"))
-    return keys.join(states, "state", "left").select(
-        "key", "is_onlybid_in_state",
-        starts_with_word("bid_name", "emergency").alias("is_emergency_bid"),
-        starts_with_word("bid_name", "supplemental").alias("is_supplemental_bid"),
-    )
+    """Only bid line in its (first) state; emergency or supplemental by the first bid name."""
+    picks = _line_picks(bids).select("key", "state", "bid_name")
+    return picks.join(_only_bid_states(bids), "state", "left").select("key", "is_onlybid_in_state", *_name_flags())
+
+
+def line_attributes(bids: DataFrame, all_bids: DataFrame | None = None) -> DataFrame:
+    """Types, rollover and flags together: one aggregation where the single groups would take three.
+
+    `all_bids` is what a state's only bid line is judged by, if `bids` is a part of it.
+    """
+    states = _only_bid_states(bids if all_bids is None else all_bids)
+    picks = _line_picks(bids).join(states, "state", "left")
+    return picks.select("key", *TYPE_COLUMNS, "rollover", "is_onlybid_in_state", *_name_flags())
 
 
 def cluster_features(bids: DataFrame, clusters: DataFrame) -> DataFrame:
     """Last year's mean committed and award price and number of competitors in the key's cluster.
 
     Means over distinct rows are carried as sums and counts per key, so no offer row meets the
-    cluster table. The house counts as a competitor here.
+    cluster table. All three measures start from the same distinct rows, whose shuffle Spark
+    reuses. The house counts as a competitor here.
     """
-    offers = _priced(bids)
+    offers = _priced(bids).select(
+        "key", "fiscal", "price_competitor_id", "committed_price_ty", "award_price_ty"
+    ).distinct()
     mapping = first_per_key(clusters.select("key", "cluster"), ["key"])
     committed = (
         offers.select("key", "fiscal", "price_competitor_id", "committed_price_ty").distinct()
-        .groupBy("key", "fiscal")
-        .agg(F.sum("committed_price_ty").alias("price_sum"), F.count("committed_price_ty").alias("prices"))
+        .groupBy("key")
+        .agg(
+            F.any_value("fiscal").alias("fiscal"),
+            F.sum("committed_price_ty").alias("price_sum"),
+            F.count("committed_price_ty").alias("prices"),
+        )
     )
     keys = committed.join(mapping, "key", "left")
     in_cluster = keys.where(F.col("cluster").isNotNull())
@@ -261,34 +305,41 @@ def cluster_features(bids: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def feature_groups(
-    clusters: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR
-) -> dict[str, Callable[[DataFrame], DataFrame]]:
-    """The feature groups of the full table, by name. Quantity comes from the cost group only."""
+    bids: DataFrame, clusters: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR,
+    first_fiscal: int | None = None,
+) -> dict[str, DataFrame]:
+    """The feature groups of the full table, by name. Quantity comes from the cost group only.
+
+    `first_fiscal` is the earliest fiscal year of the keys in question: groups then read offers
+    from their own look-back only, which prunes a bid table partitioned by fiscal year.
+    """
+    def since(years_back: int) -> DataFrame:
+        return bids if first_fiscal is None else bids.where(F.col("fiscal") >= first_fiscal - years_back)
+
     return {
-        "region_product_types": region_product_types,
-        "competitors_previous_year": competitors_previous_year,
-        "cost_qty_distance": cost_qty_distance,
-        "destination_price_previous_year": destination_price_previous_year,
-        "region_price_movement": region_price_movement,
-        "min_max_quantity": lambda b: min_max_quantity(b).drop("total_qty_ty"),
-        "contract_timeframe": contract_timeframe,
-        "rollover_contract": rollover_contract,
-        "next_best_competitor": next_best_competitor,
-        "fill_rate": lambda b: fill_rate(b, calendar),
-        "bid_flags": bid_flags,
-        "cluster_features": lambda b: cluster_features(b, clusters),
+        "line_attributes": line_attributes(since(0), bids),
+        "competitors_previous_year": competitors_previous_year(since(1)),
+        "cost_qty_distance": cost_qty_distance(since(0)),
+        "destination_price_previous_year": destination_price_previous_year(since(1)),
+        "region_price_movement": region_price_movement(since(2)),
+        "min_max_quantity": min_max_quantity(since(0)).drop("total_qty_ty"),
+        "contract_timeframe": contract_timeframe(since(0)),
+        "next_best_competitor": next_best_competitor(since(1)),
+        "fill_rate": fill_rate(since(0), calendar),
+        "cluster_features": cluster_features(since(1), clusters),
     }
 
 
 def feature_table(
     key_table: DataFrame, bids: DataFrame, clusters: DataFrame,
     calendar: tuple[str, str] = FILL_RATE_CALENDAR, key_columns: Sequence[str] = ("key", "date", "target"),
+    first_fiscal: int | None = None,
 ) -> DataFrame:
     """Key table with all feature groups, joined on the key; repeated column names are refused.
 
     Every group is aggregated by key already, so the chain of joins shares one partitioning.
     """
     table = key_table.select(*key_columns)
-    for build in feature_groups(clusters, calendar).values():
-        table = attach(table, build(bids), ["key"], check=False)
+    for group in feature_groups(bids, clusters, calendar, first_fiscal).values():
+        table = attach(table, group, ["key"], check=False)
     return table

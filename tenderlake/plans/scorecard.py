@@ -227,7 +227,8 @@ DRIVER_COLUMNS = [f"Top Driver {i}" for i in range(1, TOP_DRIVERS + 1)]
 
 def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, order_end) -> DataFrame:
     """One row per scored key with risk, value, product, sales and service details."""
-    value = value_at_risk(inputs.invoices, inputs.score_keys)
+    # Read twice (join and last date), so written once.
+    value = materialize(value_at_risk(inputs.invoices, inputs.score_keys), "value")
     base = (
         inputs.scores.select("key", "churn_prob", *split_once("key", "Customer", "Product"))
         .join(value, "key", "left")

@@ -63,16 +63,26 @@ def leaf_values(nodes: DataFrame) -> DataFrame:
     return trees.select(F.transform("trees", lambda x: x["values"]).alias("values"))
 
 
-def with_tree_prices(scored: DataFrame, nodes: DataFrame, name: str = "tree_prices") -> DataFrame:
-    """Add the array of every tree's prediction, row by row, from the scored leaf vector.
-
-    The leaf values are one model-sized constant, so no row is multiplied or shuffled.
+def with_tree_prices(
+    scored: DataFrame, nodes: DataFrame, name: str = "tree_prices", key: str = "key",
+    most_nodes: int = BROADCAST_NODES,
+) -> DataFrame:
+    """Add the array of every tree's prediction from the scored leaf vector.
+
+    Up to `most_nodes` nodes the leaf values are one constant sent to every task, so no row is
+    multiplied or shuffled. A larger model is joined as a table, with one row per key and tree.
     """
     leaves = vector_to_array("leaf").cast("array<int>")
-    values = leaf_values(nodes).scalar()
-    return scored.withColumn("_values", values).withColumn(
-        name, F.zip_with(leaves, "_values", lambda leaf, tree: F.get(tree, leaf))
-    ).drop("_values")
+    if nodes.count() <= most_nodes:
+        values = leaf_values(nodes).scalar()
+        return scored.withColumn("_values", values).withColumn(
+            name, F.zip_with(leaves, "_values", lambda leaf, tree: F.get(tree, leaf))
+        ).drop("_values")
+    rows = scored.select(key, F.posexplode(leaves).alias("tree_id", "leaf"))
+    priced = rows.join(leaf_table(nodes).select("tree_id", "leaf", "value"), ["tree_id", "leaf"])
+    arrays = priced.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("tree_id", "value"))).alias("_trees"))
+    arrays = arrays.select(key, F.transform("_trees", lambda t: t["value"]).alias(name))
+    return scored.join(arrays, key)
 
 
 def tree_price_rows(priced: DataFrame, columns: Sequence[str] = ("key",)) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.ml import PipelineModel
@@ -28,9 +29,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, hig
                            properties=options)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Replace a catalog table, or Parquet files when `name` is a path."""
+def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace a catalog table, or Parquet files when `name` is a path.
+
+    The bid table is best partitioned by fiscal year: the scoring run then reads three years of it.
+    """
     writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(name) if "/" in name else writer.saveAsTable(name)
 
 

@@ -212,7 +212,7 @@ def training_features(s, d):
 
 def scoring_features(s, d):
     keys = bid_plans.scoring_table(bids(s, d), RUN_YEAR)
-    return features.feature_table(keys, bids(s, d), clusters(s, d), CALENDAR, ["key"])
+    return features.feature_table(keys, bids(s, d), clusters(s, d), CALENDAR, ["key"], RUN_YEAR)
 
 
 QUERIES = {

@@ -23,11 +23,8 @@ CHURN_CLASSES = [
 
 
 def model_table(s, d):
-    """Training features without the product names, cleaned and written once."""
-    return written(
-        s, d, "model-table",
-        lambda: modeling.clean_model_table(training_features(s, d).drop("product_name")),
-    )
+    """Training features, cleaned and written once."""
+    return written(s, d, "model-table", lambda: modeling.clean_model_table(training_features(s, d)))
 
 
 _FITTED: dict[tuple, tuple] = {}
@@ -88,12 +85,9 @@ def tuned(s, d):
 
 
 def run_backtest(s, d):
-    slot = (s.sparkContext.applicationId, d, "backtest")
-    if slot not in _FITTED:
-        _FITTED[slot] = modeling.backtest(
-            model_table(s, d), START, MONTHS, lambda: modeling.boosted_trees(ROUNDS), parallelism=4
-        )
-    return _FITTED[slot]
+    return modeling.backtest(
+        model_table(s, d), START, MONTHS, lambda: modeling.boosted_trees(ROUNDS), parallelism=4
+    )
 
 
 def split_sizes(s, d):

@@ -207,8 +207,10 @@ def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The static key to cluster mapping, written once."""
     keys = bids(spark, sf_dir).where(F.col("bid_line_no") % 11 != 0)
-    return keys.select("key", (F.col("bid_line_no") % 7).alias("cluster")).distinct()
+    mapping = keys.select("key", (F.col("bid_line_no") % 7).alias("cluster")).distinct()
+    return written(spark, sf_dir, "clusters", lambda: mapping)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +218,10 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scorecard_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(spark, sf_dir, "score-keys", lambda: _scorecard_keys(spark, sf_dir))
+
+
+def _scorecard_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last date and day gaps between distinct billing dates; a key has at most one row per day."""
     days = invoices(spark, sf_dir).select("key", "billing_date").distinct()
     before = F.lag("billing_date").over(Window.partitionBy("key").orderBy("billing_date"))
