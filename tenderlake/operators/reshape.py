@@ -30,10 +30,12 @@ def one_hot(df: DataFrame, categories: dict[str, Sequence[str]]) -> DataFrame:
     return df.select(*kept, *flags)
 
 
-def align_columns(df: DataFrame, like: Sequence[str]) -> DataFrame:
-    """Exactly the given columns in that order: missing ones as null, others dropped."""
+def align_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Exactly the columns of `like` in its order: missing ones as null, others dropped."""
     present = set(df.columns)
-    return df.select(*[F.col(f"`{c}`") if c in present else F.lit(None).cast("double").alias(c) for c in like])
+    return df.select(*[
+        F.col(f"`{c}`") if c in present else F.lit(None).cast(t).alias(c) for c, t in like.dtypes
+    ])
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

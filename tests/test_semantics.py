@@ -111,7 +111,9 @@ def test_one_hot_align_and_reshape(spark):
     df = spark.createDataFrame([("a", "x"), ("b", None), ("c", "z")], "key string, t string")
     hot = reshape.one_hot(df, {"t": ["x", "y"]})
     assert rows(hot) == [("a", 1, 0), ("b", 0, 0), ("c", 0, 0)]
-    assert reshape.align_columns(hot, ["t_y", "new", "key"]).columns == ["t_y", "new", "key"]
+    like = spark.createDataFrame([], "t_y int, new string, key string")
+    aligned = reshape.align_columns(hot, like)
+    assert aligned.dtypes == like.dtypes and rows(aligned)[0] == (0, None, "a")
     wide = spark.createDataFrame([("a", 1.0, 2.0)], "key string, p double, q double")
     long = reshape.to_long(wide, ["key"])
     assert rows(long) == [("a", "p", 1.0), ("a", "q", 2.0)]

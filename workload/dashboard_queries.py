@@ -150,6 +150,17 @@ common as (select key from price_rows intersect select key from reference_rows
 KEY_PARTS = """key, cast(split_part(key, '_', 1) as int) as fiscal, split_part(key, '_', 2) as destination,
   cast(split_part(key, '_', 3) as int) as bidlineno"""
 
+
+
+def _choices(column, condition, **chosen):
+    return (
+        lambda s, d: reshape.distinct_choices(dashboard.dashboard_keys(key_tables(s, d)), column, **chosen),
+        over_bids(AWARDED, PRICED, COSTS, PRICES, REFERENCE, TREE_ROWS, IMPORTANT, KEYS_SQL,
+                  f"select distinct {column} from (select {KEY_PARTS} from common) where {condition}"),
+        [],
+    )
+
+
 QUERIES = {
     "bid_reference_table": (
         lambda s, d: bid_reference_table(bids(s, d)),
@@ -176,14 +187,11 @@ QUERIES = {
                   where key in ('1999_H7_12', '1999_H7_13', '2000_H3_30', '2001_H10_48')"""),
         [],
     ),
-    "dashboard_choices_destination": (
-        lambda s, d: reshape.distinct_choices(
-            dashboard.dashboard_keys(key_tables(s, d)), "destination", fiscal=LOOKUP["fiscal"]
-        ),
-        over_bids(AWARDED, PRICED, COSTS, PRICES, REFERENCE, TREE_ROWS, IMPORTANT, KEYS_SQL,
-                  f"select distinct destination from (select {KEY_PARTS} from common) "
-                  f"where fiscal = {LOOKUP['fiscal']}"),
-        [],
+    "dashboard_choices_fiscal": _choices("fiscal", "true"),
+    "dashboard_choices_destination": _choices("destination", f"fiscal = {LOOKUP['fiscal']}", fiscal=LOOKUP["fiscal"]),
+    "dashboard_choices_bidlineno": _choices(
+        "bidlineno", f"fiscal = {LOOKUP['fiscal']} and destination = '{LOOKUP['destination']}'",
+        fiscal=LOOKUP["fiscal"], destination=LOOKUP["destination"],
     ),
     "dashboard_top_importance": (
         lambda s, d: dashboard.top_importance(view(s, d, IMPORTANCE_SQL)),

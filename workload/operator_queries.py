@@ -9,9 +9,8 @@ from tenderlake.operators import joins, reshape, windows
 from tenderlake.plans import features, scorecard
 from tenderlake.sources.ingest import typed_bids
 from workload import views
-from workload.bid_queries import AWARDED, FILL, PRICED
+from workload.bid_queries import AWARDED, COSTS, FILL, PRICED
 from workload.dashboard_queries import PRICES, prices
-from workload.bid_queries import COSTS
 from workload.scorecard_queries import DRIVERS, SCORES, contributions, scores
 from workload.sqltext import KEYS_CTE, bare, over_bids, over_invoices, over_raw
 from workload.views import CALENDAR, bids, clusters, invoices, raw_bids, scorecard_keys, table, tree_prices, view
@@ -249,6 +248,17 @@ QUERIES = {
             product_name nulls first, bid_type_name nulls first) filter (bid_type_name is not null) as t
           from awarded group by key)""", "select key, " + ", ".join(
             f"cast(coalesce(t = '{n}', false) as int) as \"bid_type_name_{n}\"" for n in TYPE_NAMES) + " from t"), []),
+    "aligned_scoring_columns": (
+        lambda s, d: reshape.align_columns(
+            reshape.one_hot(
+                features.region_product_types(bids(s, d).where(F.col("fiscal") == 2001)).select("key", "bid_type_name"),
+                {"bid_type_name": ["State", "Commercial"]}),
+            reshape.one_hot(bids(s, d).select("key", "bid_type_name"), {"bid_type_name": TYPE_NAMES})),
+        over_bids(AWARDED, """t as (select key, first(bid_type_name order by sales_region_name nulls first,
+            product_name nulls first, bid_type_name nulls first) filter (bid_type_name is not null) as t
+          from awarded where fiscal = 2001 group by key)""", "select key, " + ", ".join(
+            "cast(coalesce(t = 'State', false) as int)" + ' as "bid_type_name_State"' if n == "State"
+            else f'cast(null as int) as "bid_type_name_{n}"' for n in TYPE_NAMES) + " from t"), []),
     "array_to_rows": (
         tree_prices, f"with {TREE_CTE} select key, cast(tree_id as int) as tree_id, price from tree_rows", ["price"]),
     "key_parts": (

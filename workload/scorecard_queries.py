@@ -168,11 +168,25 @@ def _names(columns):
 
 
 LCD_HEAD = ["AI_Source", *sc.SALES_COLUMNS["lcd"]]
-LCD_FULL = ["AI_Source", *sc.SALES_COLUMNS["lcd"], "Horizontal", "Product Family Code", *sc.PRODUCT_COLUMNS,
-            *sc.RISK_COLUMNS, "churn_prob", "churn_risk", "open_cases", "last_call_date", *sc.DRIVER_COLUMNS]
-LCD_FIELD = [*LCD_HEAD, "Horizontal", *sc.PRODUCT_COLUMNS, *sc.RISK_COLUMNS, *sc.DRIVER_COLUMNS]
-FI_TAIL = ["Seller", "Customer", "Customer Name", "Product Family Code", "Horizontal", *sc.PRODUCT_COLUMNS,
-           *sc.RISK_COLUMNS, *sc.DRIVER_COLUMNS]
+FULL_TAIL = ["Horizontal", "Product Family Code", *sc.PRODUCT_COLUMNS, *sc.RISK_COLUMNS, "churn_prob", "churn_risk",
+             "open_cases", "last_call_date", *sc.DRIVER_COLUMNS]
+FIELD_TAIL = ["Horizontal", *sc.PRODUCT_COLUMNS, *sc.RISK_COLUMNS, *sc.DRIVER_COLUMNS]
+LCD_FULL = [*LCD_HEAD, *FULL_TAIL]
+LCD_FIELD = [*LCD_HEAD, *FIELD_TAIL]
+LCD_DASHBOARD = [*LCD_HEAD, "Product Family Code", *FIELD_TAIL]
+FI_FULL = ["AI_Source", *sc.SALES_COLUMNS["fi"], *FULL_TAIL]
+FI_FIELD = ["AI_Source", "Industry", "Director", "Sales Manager", "Seller", "Customer", "Customer Name", *FIELD_TAIL]
+FI_DASHBOARD = [*FI_FIELD[:7], "Product Family Code", *FIELD_TAIL]
+
+
+def _layout(lob, kind, columns, doubles):
+    replaced = {"Industry": "reps.industry", "Director": "reps.director", "Sales Manager": "reps.sales_manager"}
+    if lob == "lcd" or kind == "full":
+        sql = f"select {_names(columns)} from card"
+        return (lambda s, d: layout(s, d, lob, kind), over_invoices(*CARD_PARTS, sql), doubles)
+    picked = ", ".join('{} as "{}"'.format(replaced.get(c, f'card."{c}"'), c) for c in columns)
+    sql = f'select {picked} from card left join reps on card."Seller" = reps.sales_rep'
+    return (lambda s, d: layout(s, d, lob, kind), over_invoices(*CARD_PARTS, REPS, sql), doubles)
 
 
 def scores(s, d):
@@ -289,18 +303,12 @@ QUERIES = {
         lambda s, d: sc.open_cases(view(s, d, views.CASES_SQL)),
         over_invoices(SERVICE, "select * from case_counts"), []),
     "scorecard": (card, over_invoices(*CARD_PARTS, "select * from card"), CARD_DOUBLES),
-    "scorecard_full": (
-        lambda s, d: layout(s, d, "lcd", "full"),
-        over_invoices(*CARD_PARTS, f"select {_names(LCD_FULL)} from card"), CARD_DOUBLES),
-    "scorecard_field": (
-        lambda s, d: layout(s, d, "lcd", "field"),
-        over_invoices(*CARD_PARTS, f"select {_names(LCD_FIELD)} from card"), LAYOUT_DOUBLES),
-    "scorecard_dashboard_hierarchy": (
-        lambda s, d: layout(s, d, "fi", "dashboard"),
-        over_invoices(*CARD_PARTS, REPS, f"""select card."AI_Source", reps.industry as "Industry",
-          reps.director as "Director", reps.sales_manager as "Sales Manager",
-          {", ".join('card."' + c + '"' for c in FI_TAIL)}
-          from card left join reps on card."Seller" = reps.sales_rep"""), LAYOUT_DOUBLES),
+    "scorecard_full": _layout("lcd", "full", LCD_FULL, CARD_DOUBLES),
+    "scorecard_field": _layout("lcd", "field", LCD_FIELD, LAYOUT_DOUBLES),
+    "scorecard_dashboard": _layout("lcd", "dashboard", LCD_DASHBOARD, LAYOUT_DOUBLES),
+    "scorecard_full_industry": _layout("fi", "full", FI_FULL, CARD_DOUBLES),
+    "scorecard_field_hierarchy": _layout("fi", "field", FI_FIELD, LAYOUT_DOUBLES),
+    "scorecard_dashboard_hierarchy": _layout("fi", "dashboard", FI_DASHBOARD, LAYOUT_DOUBLES),
     "risk_summary": (
         lambda s, d: sc.risk_summary(written_card(s, d)),
         over_invoices(*CARD_PARTS, """select "Total churn risk", avg(churn_prob) as mean_churn_prob,
