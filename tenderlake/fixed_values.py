@@ -67,5 +67,5 @@ NUMBER_COLUMNS = [
     "shipment_qty_ty",
 ]
 FLAG_COLUMNS = ["multi_year", "rollover", "cmp_costs_yn"]
-CSV_TIMESTAMP_FORMAT = "dd/MM/yyyy HH:mm:ss"
+CSV_TIMESTAMP_FORMATS = ["d/M/yyyy H:m:s", "d/MMM/yyyy H:m:s"]
 # End of fixed values.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,16 +68,20 @@ def mentions(column: Column | str, text: str) -> Column:
 
 def lenient_int(column: Column | str) -> Column:
     """Text to int: null on bad input, decimals cut off."""
-    number = _col(column).try_cast("double")
+    number = finite(_col(column).try_cast("double"))
     return F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("int")
 
 
 def lenient_double(column: Column | str) -> Column:
-    return _col(column).try_cast("double")
+    """Text to double: null, never NaN, on bad input."""
+    number = _col(column).try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
-def day_month_year(column: Column | str, fmt: str) -> Column:
-    return F.to_date(F.try_to_timestamp(_col(column), F.lit(fmt)))
+def day_month_year(column: Column | str, formats: Sequence[str]) -> Column:
+    """Timestamp text, day first, to date; dashes and dots separate like slashes."""
+    text = F.regexp_replace(F.trim(_col(column)), "[-.]", "/")
+    return F.to_date(F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]))
 
 
 def yes_no(column: Column | str) -> Column:

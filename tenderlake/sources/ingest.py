@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import (
-    CSV_TIMESTAMP_FORMAT, DATE_COLUMNS, FLAG_COLUMNS, INT_COLUMNS, NUMBER_COLUMNS, TEXT_COLUMNS,
+    CSV_TIMESTAMP_FORMATS, DATE_COLUMNS, FLAG_COLUMNS, INT_COLUMNS, NUMBER_COLUMNS, TEXT_COLUMNS,
 )
 from tenderlake.functions.columns import day_month_year, lenient_double, lenient_int, plain_e, yes_no
 
@@ -38,7 +38,7 @@ def typed_bids(df: DataFrame) -> DataFrame:
         **{c: lenient_double for c in NUMBER_COLUMNS},
         **{c: plain_e for c in TEXT_COLUMNS},
         **{c: yes_no for c in FLAG_COLUMNS},
-        **{c: (lambda x: day_month_year(x, CSV_TIMESTAMP_FORMAT)) for c in DATE_COLUMNS},
+        **{c: (lambda x: day_month_year(x, CSV_TIMESTAMP_FORMATS)) for c in DATE_COLUMNS},
     }
     named = clean_names(df)
     return named.select(*[casts[c](c).alias(c) if c in casts else F.col(c) for c in named.columns])

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tenderlake.fixed_values import CSV_TIMESTAMP_FORMATS
 from tenderlake.functions import aggregates as ag
 from tenderlake.functions import columns as cl
 from tenderlake.operators import joins, reshape
@@ -65,18 +66,25 @@ def test_attach_refuses_repeated_keys_and_names(spark):
 
 
 def test_lenient_casts(spark):
-    df = spark.createDataFrame([("3.7",), ("-3.7",), ("x",), ("",), (None,)], "t string")
-    assert [r[0] for r in df.select(cl.lenient_int("t")).collect()] == [3, -3, None, None, None]
-    assert [r[0] for r in df.select(cl.lenient_double("t")).collect()] == [3.7, -3.7, None, None, None]
+    df = spark.createDataFrame([("3.7",), ("-3.7",), ("x",), ("",), (None,), ("NaN",), ("9999999999",)], "t string")
+    assert [r[0] for r in df.select(cl.lenient_int("t")).collect()] == [3, -3, None, None, None, None, None]
+    assert [r[0] for r in df.select(cl.lenient_double("t")).collect()] == [3.7, -3.7, None, None, None, None, 9999999999.0]
 
 
 def test_text_repair_dates_and_flags(spark):
     df = spark.createDataFrame([("éàè�-�", "31/12/2019 00:00:00", "Y"), ("e", "2019-12-31", "N"), (None, None, None)],
                                "t string, d string, f string")
-    got = df.select(cl.plain_e("t"), cl.day_month_year("d", "dd/MM/yyyy HH:mm:ss"), cl.yes_no("f")).collect()
+    got = df.select(cl.plain_e("t"), cl.day_month_year("d", CSV_TIMESTAMP_FORMATS), cl.yes_no("f")).collect()
     assert [tuple(r) for r in got] == [("eàee-�", date(2019, 12, 31), True), ("e", None, False), (None, None, None)]
 
 
+def test_day_first_dates_in_other_spellings(spark):
+    texts = ["1/2/2019 0:00:00", "01-02-2019 10:00:00", " 1.2.2019 1:2:3 ", "1-Feb-2019 00:00:00", "2/1", "31/02/2019 0:0:0"]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    got = [r[0] for r in df.select(cl.day_month_year("d", CSV_TIMESTAMP_FORMATS)).collect()]
+    assert got == [date(2019, 2, 1)] * 4 + [None, None]
+
+
 def test_bid_key_parts(spark):
     df = spark.createDataFrame([(2019, "H1", 7), (2019, None, 7)], "fiscal int, destination_no string, bid_line_no int")
     assert [r[0] for r in df.select(cl.bid_key()).collect()] == ["2019_H1_7", None]

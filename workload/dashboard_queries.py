@@ -89,7 +89,7 @@ TREE_ROWS = f"""
 tree_rows as (select key, t as tree_id, p * (0.8 + 0.02 * t) as price
   from (select key, min(award_price_ty) as p from bids group by key), unnest(generate_series(0, {TREES - 1})) u(t))
 """
-IMPORTANT = "important as (select distinct key from bids where bid_line_no % 3 = 0)"
+IMPORTANT = "important as (select distinct key from bids where award_competitor_id = 'CMP')"
 LINE = f"fiscal = {LOOKUP['fiscal']} and destination = '{LOOKUP['destination']}' and bidlineno = {LOOKUP['bidlineno']}"
 
 
@@ -136,7 +136,8 @@ def trees(s, d):
 
 
 def important(s, d):
-    return bids(s, d).where(F.col("bid_line_no") % 3 == 0).select("key").distinct()
+    """Keys the house won."""
+    return bids(s, d).where(F.col("award_competitor_id") == "CMP").select("key").distinct()
 
 
 def key_tables(s, d):

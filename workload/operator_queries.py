@@ -223,10 +223,11 @@ QUERIES = {
           from r group by key"""), []),
     "stacked_keys": (
         lambda s, d: reshape.stack([
-            bids(s, d).where(F.col("fiscal") == y).select("fiscal", "key", "committed_price_ty") for y in (1996, 1997)
+            raw_bids(s, d).select("fiscal", "committed_price_ty"), bids(s, d).select("committed_price_ty", "fiscal")
         ]).groupBy("fiscal").agg(F.count("*").alias("offers"), F.avg("committed_price_ty").alias("price")),
-        over_bids("""select fiscal, count(*) as offers, avg(committed_price_ty) as price from bids
-          where fiscal in (1996, 1997) group by fiscal"""), ["price"]),
+        over_bids("""select fiscal, count(*) as offers, avg(committed_price_ty) as price from (
+          select fiscal, committed_price_ty from raw union all select fiscal, committed_price_ty from bids)
+          group by fiscal"""), ["price"]),
     "common_keys": (
         lambda s, d: reshape.common_keys([
             bids(s, d).where(F.col("price_competitor_id") == c) for c in ("CMP", "CS", "MS", "AM")

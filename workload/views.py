@@ -134,7 +134,7 @@ join {region} r on n.n_regionkey = r.r_regionkey
 union all
 select
   'LCD', cast(100000 + c.c_custkey as varchar(20)), 'SECOND', 'SECOND', 'ZZ', 'ZZ', 'ZZ', c.c_name
-from {customer} c where c.c_custkey % 9 = 0
+from {customer} c
 """
 
 PRODUCT_MAP_SQL = "select cast(p_partkey as varchar(20)) as product_key, p_name as product_name from {part}"
