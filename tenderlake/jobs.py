@@ -151,7 +151,7 @@ def build_scorecard(
         orders=read("raw_data", "sales_order_otif_table"), products=read("static_input", "prod_dm_table"),
         customer_map=read("static_input", "cust_rep_mapping"), product_names=read("static_input", "product_names"),
         program=read("static_input", "CPP_table"), calls=read("raw_data", "salescall_table"),
-        cases=read("raw_data", "service_case"),
+        cases=read("raw_data", "service_case"), history=read("raw_data", "invoice_table"),
     )
     since = date(run.run_date.year - 3, run.run_date.month, min(run.run_date.day, 28))
     card = run.write(scorecard.scorecard(inputs, lob, since, order_start, order_end), "processed_data", "scorecard")

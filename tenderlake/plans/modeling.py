@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tenderlake.functions.aggregates import error_metrics
 from tenderlake.functions.columns import finite
 from tenderlake.operators.reshape import stack
+from tenderlake.storage import use_checkpoints
 
 NOT_FEATURES = ("key", "date", "target")
 PREDICTION = "Predicted_price"
@@ -106,6 +107,7 @@ def tuned_boosting(
     parallelism: int = 1,
 ) -> Model:
     """Best of a depth x rounds x rate grid on a held-out part of the training rows."""
+    use_checkpoints(train.sparkSession)
     model = boosted_trees(rounds[0])
     grid = (
         ParamGridBuilder()
@@ -154,6 +156,7 @@ def months_from(start: date, count: int) -> list[tuple[date, date]]:
 
 def fit_fold(table: DataFrame, start: date, end: date, estimator) -> tuple[PipelineModel, Model, DataFrame]:
     """Prepare and fit on the rows before `start`; returns the scored test rows too."""
+    use_checkpoints(table.sparkSession)
     train, test = split_by_time(table, start, end)
     prepare = preparation(train).fit(train)
     model = estimator.fit(prepare.transform(train))

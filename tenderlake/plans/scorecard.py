@@ -118,13 +118,17 @@ def top_drivers(contributions: DataFrame, pairs: Sequence[tuple[str, str]], n: i
     return top_names(class_contributions(contributions, pairs), "key", "class", "contribution", n, "Top Driver ")
 
 
-def top_products(invoices: DataFrame, customers: DataFrame, since) -> DataFrame:
-    """Per customer and product family the product with the highest profit, plus the family's horizontal."""
+def top_products(invoices: DataFrame, customers: DataFrame | None, since) -> DataFrame:
+    """Per customer and product family the product with the highest profit, plus the family's horizontal.
+
+    `customers` limits the customers, after the sums and so on few rows.
+    """
     recent = invoices.where(F.col("billing_date") >= F.lit(since).cast("date"))
     sums = recent.groupBy("customer_bill_to_id", "product_family", "product_no").agg(
         F.max("horizontal").alias("horizontal"), F.sum("inv_delivered_gp").alias("profit")
     )
-    sums = only_listed(sums, customers, ["customer_bill_to_id"])
+    if customers is not None:
+        sums = only_listed(sums, customers, ["customer_bill_to_id"])
     top = sums.groupBy("customer_bill_to_id", "product_family").agg(
         top_by("product_no", "profit").alias("top_product"), F.max("profit").alias("top_profit")
     ).where(F.col("top_profit").isNotNull())
@@ -207,7 +211,11 @@ def customer_attributes(mapping: DataFrame) -> DataFrame:
 
 @dataclass
 class ScorecardInputs:
-    """Tables the scorecard reads; `scores` holds key and churn_prob, `drivers` key and top drivers."""
+    """Tables the scorecard reads; `scores` holds key and churn_prob, `drivers` key and top drivers.
+
+    `invoices` are those of the scored customers; `history`, if given, is the full invoice table that top
+    products and industries come from.
+    """
 
     scores: DataFrame
     score_keys: DataFrame
@@ -220,6 +228,7 @@ class ScorecardInputs:
     program: DataFrame
     calls: DataFrame
     cases: DataFrame
+    history: DataFrame | None = None
 
 
 DRIVER_COLUMNS = [f"Top Driver {i}" for i in range(1, TOP_DRIVERS + 1)]
@@ -234,8 +243,9 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
         .join(value, "key", "left")
         .join(inputs.drivers, "key", "left")
     )
-    customers = inputs.invoices.select("customer_bill_to_id").distinct()
-    top = top_products(inputs.invoices, customers, products_since).drop("top_profit")
+    history = inputs.invoices if inputs.history is None else inputs.history
+    customers = None if inputs.history is None else inputs.invoices.select("customer_bill_to_id").distinct()
+    top = top_products(history, customers, products_since).drop("top_profit")
     base = attach(base, top, ["Customer", "Product"], check=False)
     base = base.withColumn("Top Product", F.coalesce("Top Product", F.lit("0"))).withColumn("LOB", F.lit(lob.upper()))
 
@@ -264,7 +274,7 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
     base = with_order_risk(base, value.agg(F.max("last_trx_date")))
     for column, supplier in PROGRAM_SUPPLIERS.items():
         base = membership(base, program_customers(inputs.program, supplier), ["Customer"], column, "Yes", " ")
-    base = attach(base, customer_industry(inputs.invoices), ["Customer"], check=False)
+    base = attach(base, customer_industry(history), ["Customer"], check=False)
     base = attach(base, last_calls(inputs.calls), ["Customer"], check=False)
     base = attach(base, open_cases(inputs.cases), ["Customer"], check=False)
 

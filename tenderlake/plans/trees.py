@@ -6,7 +6,6 @@ that bound, whatever the number of scored rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.functions.columns import ratio
 from tenderlake.operators.reshape import stack
-from tenderlake.storage import materialize, shared_folder
+from tenderlake.storage import materialize, new_path
 
 BROADCAST_NODES = 2_000_000
 
@@ -25,7 +24,7 @@ def node_table(model, spark: SparkSession) -> DataFrame:
 
     The value is the prediction, or the share of class 1 for a random forest classifier.
     """
-    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    path = new_path(spark, "model")
     model.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree_id"), "nodeData.*")
     if type(model).__name__ == "RandomForestClassificationModel":
@@ -170,7 +169,10 @@ def contributions(scored: DataFrame, paths: DataFrame, path_rows: int, key: str
 
 
 def explain_model(scored: DataFrame, model, names: Sequence[str]) -> DataFrame:
-    """Path contributions of a random forest or boosted regression for every scored row."""
+    """Path contributions for every scored row: to the prediction of a regression or the class-1
+    probability of a random forest, to the raw margin of a boosted classifier (before the factor of two
+    in its probability).
+    """
     depth = model.getMaxDepth()
     weights = tree_weights(model)
     nodes = node_table(model, scored.sparkSession)

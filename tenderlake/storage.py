@@ -33,6 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path under this application's part of the shared folder, free to delete after the run."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/tenderlake-{application}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
@@ -40,6 +46,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     and every later reader sees the same bits.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Give tree training a checkpoint folder, or its lineage grows with every boosting round."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

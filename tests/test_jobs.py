@@ -68,6 +68,7 @@ def test_scorecard_outputs(run, spark, sf_dir):
     view = lambda text: views.view(spark, sf_dir, text)
     put(views.scorecard_keys(spark, sf_dir), "scoring_data", "scoring")
     put(views.invoices(spark, sf_dir), "scoring_data", "dm_invoice_features")
+    put(views.invoices(spark, sf_dir), "raw_data", "invoice_table")
     put(view(views.SALES_ORDERS_SQL), "raw_data", "sales_order_otif_table")
     put(view(views.FAMILY_MAP_SQL), "static_input", "prod_dm_table")
     put(view(views.CUSTOMER_MAP_SQL), "static_input", "cust_rep_mapping")

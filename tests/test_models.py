@@ -90,6 +90,18 @@ def test_classifier_contributions_add_up_to_the_probability(spark, sf_dir):
     assert scored.where("churn_prob < 0 or churn_prob > 1").count() == 0
 
 
+def test_boosted_classifier_contributions_add_up_to_the_margin(spark, sf_dir):
+    model, scored = q.churn(spark, sf_dir, True)
+    base = trees.root_value(trees.node_table(model, spark), trees.tree_weights(model))
+    parts = trees.explain_model(scored, model, modeling.vector_names(scored))
+    sums = parts.groupBy("key").agg(F.sum("contribution").alias("s"))
+    margins = scored.select("key", vector_to_array("rawPrediction")[1].alias("m"), "churn_prob")
+    gap = F.abs(F.col("s") + F.lit(base) - F.col("m"))
+    chance = F.abs(1 / (1 + F.exp(-2 * F.col("m"))) - F.col("churn_prob"))
+    worst = sums.join(margins, "key").agg(F.max(gap), F.max(chance)).first()
+    assert worst[0] < 1e-9 and worst[1] < 1e-9
+
+
 def test_backtest_has_every_fold(spark, sf_dir):
     table = q.model_table(spark, sf_dir)
     predictions, importance = modeling.backtest(table, q.START, 2, lambda: modeling.boosted_trees(2), 2)

@@ -155,6 +155,11 @@ def churn_contributions(s, d):
     return trees.explain_model(scored, model, modeling.vector_names(scored))
 
 
+def churn_margins(s, d):
+    model, scored = churn(s, d, True)
+    return trees.explain_model(scored, model, modeling.vector_names(scored))
+
+
 def churn_drivers(s, d):
     model, scored = churn(s, d)
     names = modeling.vector_names(scored)
@@ -214,5 +219,6 @@ QUERIES = {
     "churn_probability": (lambda s, d: churn(s, d)[1].select("key", "churn_prob"), None, []),
     "churn_probability_boosted": (lambda s, d: churn(s, d, True)[1].select("key", "churn_prob"), None, []),
     "churn_contributions": (churn_contributions, None, []),
+    "churn_margin_contributions": (churn_margins, None, []),
     "churn_top_drivers": (churn_drivers, None, []),
 }
