@@ -97,9 +97,9 @@ def train_prices(run: Run, start: date, months: int, trees_count: int = 500, rou
     nodes = trees.node_table(model.stages[-1], run.spark)
     run.write(trees.price_recommendation(scored, nodes), "exports", "price_recomm")
     priced = trees.with_tree_prices(scored, nodes)
-    run.write(
-        trees.tree_price_rows(priced, ("key", "date", "target", "Predicted_price")), "exports", "price_alltreepredictions"
-    )
+    columns = ("key", "date", "target", "Predicted_price")
+    run.write(trees.tree_price_rows(priced, columns), "exports", "price_alltreepredictions")
+    tables.export_csv(trees.tree_price_columns(priced, trees_count, columns), run.name("exports", "price_tree_matrix"))
 
 
 def score_prices(run: Run) -> None:

@@ -89,6 +89,11 @@ def tree_price_rows(priced: DataFrame, columns: Sequence[str] = ("key",)) -> Dat
     return priced.select(*columns, F.posexplode("tree_prices").alias("tree_id", "price"))
 
 
+def tree_price_columns(priced: DataFrame, trees: int, columns: Sequence[str] = ("key",)) -> DataFrame:
+    """The wide table: the given columns, then one column per tree named by its number."""
+    return priced.select(*columns, *[F.get("tree_prices", F.lit(i)).alias(str(i)) for i in range(trees)])
+
+
 def array_percentile(ordered: str, share: float) -> Column:
     """Percentile of a sorted array with linear interpolation."""
     place = (F.size(ordered) - 1) * F.lit(share)

@@ -46,6 +46,9 @@ def test_steps(run, spark, sf_dir):
     assert prices.where("error_down_95 > error_up_95").count() == 0 and prices.count() > 0
     assert run.read("exports", "price_alltreepredictions").count() == 4 * prices.count()
     assert tables.read_csv(spark, run.name("exports", "Predictions")).count() > 0
+    matrix = tables.read_csv(spark, run.name("exports", "price_tree_matrix"))
+    assert matrix.columns == ["key", "date", "target", "Predicted_price", "0", "1", "2", "3"]
+    assert matrix.count() == prices.count()
     jobs.score_prices(run)
     scored = run.read("scoring_data", "price_recomm")
     assert scored.count() == run.read("scoring_data", "bid_scoring").count() > 0

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.functions import aggregates, columns
 from tenderlake.operators import joins, reshape, windows
-from tenderlake.plans import features, scorecard
+from tenderlake.plans import features, scorecard, trees
 from tenderlake.sources.ingest import typed_bids
 from workload import views
 from workload.bid_queries import AWARDED, COSTS, FILL, PRICED
@@ -59,6 +59,7 @@ def prices_wide(s, d):
     return reshape.to_wide(prices_long(s, d), ["key"], "variable", "value", names)
 
 
+MATRIX_TREES = 64
 TYPE_NAMES = ["Municipal", "County", "State", "Institutional"]
 
 QUERIES = {
@@ -262,6 +263,14 @@ QUERIES = {
             else f'cast(null as int) as "bid_type_name_{n}"' for n in TYPE_NAMES) + " from t"), []),
     "array_to_rows": (
         tree_prices, f"with {TREE_CTE} select key, cast(tree_id as int) as tree_id, price from tree_rows", ["price"]),
+    "tree_price_matrix": (
+        lambda s, d: trees.tree_price_columns(
+            table(s, d, "embeddings").select(
+                F.col("vec_id").cast("string").alias("key"), F.col("embedding").cast("array<double>").alias("tree_prices")),
+            MATRIX_TREES),
+        "select cast(vec_id as varchar) as key, " + ", ".join(
+            f'cast(embedding[{i + 1}] as double) as "{i}"' for i in range(MATRIX_TREES)) + " from embeddings",
+        [str(i) for i in range(MATRIX_TREES)]),
     "key_parts": (
         lambda s, d: bids(s, d).select("key").distinct().select("key", *columns.key_parts()),
         over_bids("""select distinct key, fiscal, destination_no as destination, bid_line_no as bidlineno from bids"""),
