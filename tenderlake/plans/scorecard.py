@@ -21,10 +21,10 @@ from tenderlake.fixed_values import (
     ORDER_RISK_CEILING, ORDER_RISK_CUTS, ORDER_RISK_LABELS, PROGRAM_SUPPLIERS, SCORECARD_SOURCE,
     TOP_DRIVERS, TOTAL_BANDS,
 )
-from tenderlake.functions.aggregates import top_by
+from tenderlake.functions.aggregates import top_by, total
 from tenderlake.functions.columns import mentions, non_negative, ratio, split_once
 from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, within_last_year
-from tenderlake.operators.windows import band_by_rank, group_total, top_names
+from tenderlake.operators.windows import band_by_rank, top_names
 from tenderlake.storage import materialize
 
 
@@ -177,6 +177,16 @@ def program_customers(program: DataFrame, text: str) -> DataFrame:
     ).distinct()
 
 
+def program_flags(program: DataFrame) -> DataFrame:
+    """Per customer of the program whether it buys from each named supplier, in one pass."""
+    filled = program.fillna("0", ["ship_to", "supplier_name"])
+    flags = [
+        F.when(F.max(mentions("supplier_name", text)), "Yes").otherwise(" ").alias(column)
+        for column, text in PROGRAM_SUPPLIERS.items()
+    ]
+    return filled.groupBy(F.substring("ship_to", 1, 6).alias("Customer")).agg(*flags)
+
+
 def customer_industry(invoices: DataFrame) -> DataFrame:
     """Industry at the customer's last billing date, the smallest name on ties."""
     daily = invoices.groupBy("customer_bill_to_id", "billing_date").agg(
@@ -234,32 +244,53 @@ class ScorecardInputs:
 DRIVER_COLUMNS = [f"Top Driver {i}" for i in range(1, TOP_DRIVERS + 1)]
 
 
+def customer_table(inputs: ScorecardInputs, value: DataFrame, lob: str) -> DataFrame:
+    """One row per scored customer: total value, sales attributes, program flags, service record.
+
+    All parts are grouped by customer, so the joins here share one partitioning and the scored
+    rows meet a single customer-level table.
+    """
+    scored = inputs.scores.select("key", *split_once("key", "Customer", "Product"))
+    totals = (
+        scored.join(value.select("key", "value_at_risk"), "key", "left")
+        .groupBy("Customer")
+        .agg(total("value_at_risk").alias("Annual customer iDGP at risk"))
+    )
+    attributes = customer_attributes(inputs.customer_map.where(F.col("lob") == lob)).select(
+        F.col("bill_to_key").alias("Customer"), F.col("region").alias("Region"),
+        F.col("district").alias("District"), F.col("general_manager").alias("General Manager"),
+        F.col("sales_manager").alias("Sales Manager"), F.col("seller").alias("Seller"),
+        F.col("bill_to_name").alias("Customer Name"),
+    )
+    history = inputs.invoices if inputs.history is None else inputs.history
+    parts = [
+        attributes, program_flags(inputs.program), customer_industry(history), last_calls(inputs.calls),
+        open_cases(inputs.cases),
+    ]
+    table = totals
+    for part in parts:
+        table = attach(table, part, ["Customer"], check=False)
+    return table.fillna(" ", list(PROGRAM_SUPPLIERS))
+
+
 def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, order_end) -> DataFrame:
     """One row per scored key with risk, value, product, sales and service details."""
-    # Read twice (join and last date), so written once.
+    lob = lob.upper()
+    # Read by the keys, the customer totals and the last date, so written once.
     value = materialize(value_at_risk(inputs.invoices, inputs.score_keys), "value")
     base = (
         inputs.scores.select("key", "churn_prob", *split_once("key", "Customer", "Product"))
         .join(value, "key", "left")
         .join(inputs.drivers, "key", "left")
+        .withColumn("LOB", F.lit(lob))
     )
+    base = base.join(customer_table(inputs, value, lob), "Customer", "left")
+
     history = inputs.invoices if inputs.history is None else inputs.history
     customers = None if inputs.history is None else inputs.invoices.select("customer_bill_to_id").distinct()
     top = top_products(history, customers, products_since).drop("top_profit")
     base = attach(base, top, ["Customer", "Product"], check=False)
-    base = base.withColumn("Top Product", F.coalesce("Top Product", F.lit("0"))).withColumn("LOB", F.lit(lob.upper()))
-
-    attributes = customer_attributes(inputs.customer_map).select(
-        F.col("bill_to_key").alias("Customer"), F.col("lob").alias("LOB"), F.col("region").alias("Region"),
-        F.col("district").alias("District"), F.col("general_manager").alias("General Manager"),
-        F.col("sales_manager").alias("Sales Manager"), F.col("seller").alias("Seller"),
-        F.col("bill_to_name").alias("Customer Name"),
-    )
-    base = attach(base, attributes, ["Customer", "LOB"], check=False)
-    names = inputs.product_names.select(
-        F.col("product_key").cast("string").alias("Top Product"), F.col("product_name").alias("Top Product Name")
-    ).distinct()
-    base = attach(base, names, ["Top Product"])
+    base = base.withColumn("Top Product", F.coalesce("Top Product", F.lit("0")))
     families = inputs.products.select(
         F.col("product_family").alias("Product"), F.col("family_code").alias("Product Family Code")
     ).dropna().distinct()
@@ -269,14 +300,11 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
     orders = open_orders(inputs.orders, inputs.products, order_start, order_end)
     base = base.withColumn("family_code", F.replace("Product Family Code", F.lit("-"), F.lit("_")))
     base = membership(base, orders, ["Customer", "family_code"], "Open Order Flag", "Yes", "No").drop("family_code")
-
-    base = group_total(base, ["Customer"], "value_at_risk", "Annual customer iDGP at risk")
+    names = inputs.product_names.select(
+        F.col("product_key").cast("string").alias("Top Product"), F.col("product_name").alias("Top Product Name")
+    ).distinct()
+    base = attach(base, names, ["Top Product"])
     base = with_order_risk(base, value.agg(F.max("last_trx_date")))
-    for column, supplier in PROGRAM_SUPPLIERS.items():
-        base = membership(base, program_customers(inputs.program, supplier), ["Customer"], column, "Yes", " ")
-    base = attach(base, customer_industry(history), ["Customer"], check=False)
-    base = attach(base, last_calls(inputs.calls), ["Customer"], check=False)
-    base = attach(base, open_cases(inputs.cases), ["Customer"], check=False)
 
     return with_risk_bands(base).select(
         "key", F.lit(SCORECARD_SOURCE).alias("AI_Source"), "LOB", "Region", "District", "General Manager",

@@ -46,6 +46,8 @@ def test_open_orders_need_the_latest_line_open(spark):
 def test_program_text_match(spark):
     df = spark.createDataFrame([("123456-01", "BrennTag AG"), ("999999-02", None)], "ship_to string, supplier_name string")
     assert rows(sc.program_customers(df, "brenntag")) == [("123456",)]
+    more = df.union(spark.createDataFrame([("123456-02", "other"), (None, "Nexeo")], df.schema))
+    assert rows(sc.program_flags(more)) == [("0", " ", "Yes"), ("123456", "Yes", " "), ("999999", " ", " ")]
 
 
 def test_layout_columns(spark, sf_dir):

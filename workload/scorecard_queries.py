@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import ORDER_RISK_LABELS
-from tenderlake.operators.joins import membership
+from tenderlake.operators.joins import attach
+from tenderlake.operators.windows import group_total
 from tenderlake.plans import scorecard as sc
 from workload import views
 from workload.sqltext import INVOICE_CTE, KEYS_CTE, bare, over_invoices
@@ -244,10 +245,9 @@ def layout(s, d, lob, name):
 
 
 def program_flags(s, d):
-    program = view(s, d, views.PROGRAM_SQL)
     rows = scores(s, d).select("key", F.split("key", "_")[0].alias("Customer"))
-    rows = membership(rows, sc.program_customers(program, "brenntag"), ["Customer"], "Brenntag CPP", "Yes", " ")
-    return membership(rows, sc.program_customers(program, "nexeo"), ["Customer"], "Nexeo CPP", "Yes", " ")
+    flags = sc.program_flags(view(s, d, views.PROGRAM_SQL))
+    return attach(rows, flags, ["Customer"], check=False).fillna(" ", ["Brenntag CPP", "Nexeo CPP"])
 
 
 QUERIES = {
@@ -258,7 +258,7 @@ QUERIES = {
         ["churn_prob", "diff_mean", "diff_std", "value_at_risk", "churn_risk"],
     ),
     "annual_customer_value": (
-        lambda s, d: sc.group_total(
+        lambda s, d: group_total(
             value(s, d).select("key", "value_at_risk", F.split("key", "_")[0].alias("Customer")),
             ["Customer"], "value_at_risk", "annual_value",
         ),
