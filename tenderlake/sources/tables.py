@@ -33,10 +33,13 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
     """Replace a catalog table, or Parquet files when `name` is a path.
 
     The bid table is best partitioned by fiscal year: the scoring run then reads three years of it.
+    Rows are rebalanced by the partition columns first, so that a value gets files of the advisory
+    size (several for a hot value) instead of one small file per task.
     """
-    writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    else:
+        writer = df.write.mode("overwrite")
     writer.parquet(name) if "/" in name else writer.saveAsTable(name)
 
 

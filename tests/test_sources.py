@@ -54,6 +54,16 @@ def test_replace_snapshot_and_publish(spark, tmp_path):
     assert tables.read_csv(spark, where, sep="|").count() == 3
 
 
+def test_partitioned_table_has_few_files(spark, tmp_path):
+    df = spark.range(1000).repartition(8).selectExpr("id", "cast(id % 2 + 2018 as int) as fiscal")
+    tables.replace_table(df, str(tmp_path / "t"), ["fiscal"])
+    back = tables.read_table(spark, str(tmp_path / "t"))
+    assert back.count() == 1000 and dict(back.dtypes)["fiscal"] == "int"
+    assert len(back.inputFiles()) == 2
+    plan = back.where("fiscal >= 2019")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fiscal" in plan
+
+
 def test_dated_names():
     run = date(2020, 1, 15)
     assert tables.dated("bid_target", run) == "bid_target_2020_01_15"
