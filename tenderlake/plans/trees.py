@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions.columns import ratio
-from tenderlake.operators.reshape import stack
 from tenderlake.storage import materialize, new_path
 
 BROADCAST_NODES = 2_000_000
@@ -128,27 +127,30 @@ def price_recommendation(scored: DataFrame, nodes: DataFrame, cost: str = "commi
 def path_table(nodes: DataFrame, names: Sequence[str], weights: Sequence[float], depth: int) -> DataFrame:
     """For every tree and leaf the steps from root to leaf: split feature and weighted change of value.
 
-    Walks up one level per step, with joins on the model's nodes only, and is written once.
+    Every leaf walks up one level per join, collecting its steps in an array of at most `depth`
+    entries; all joins are on the model's nodes. The result is written once.
     """
     spark = nodes.sparkSession
-    nodes = materialize(nodes, "nodes")
     inner = nodes.where(F.col("left") >= 0).select(
         "tree_id", F.col("node").alias("parent"), F.col("value").alias("parent_value"), "feature_index",
         F.explode(F.array("left", "right")).alias("node"),
     )
     edges = inner.join(nodes.select("tree_id", "node", "value"), ["tree_id", "node"]).select(
-        "tree_id", "node", "parent", "feature_index", (F.col("value") - F.col("parent_value")).alias("change")
+        "tree_id", "node", "parent",
+        F.array(F.struct("feature_index", (F.col("value") - F.col("parent_value")).alias("change"))).alias("step"),
     )
     edges = materialize(edges, "edges")
-    at = leaf_table(nodes).select("tree_id", "leaf", "node")
-    steps = []
+    walk = leaf_table(nodes).select("tree_id", "leaf", "node", F.array().cast(edges.schema["step"].dataType).alias("steps"))
     for _ in range(depth):
-        step = materialize(at.join(edges, ["tree_id", "node"]), "steps")
-        steps.append(step.select("tree_id", "leaf", "feature_index", "change"))
-        at = step.select("tree_id", "leaf", F.col("parent").alias("node"))
+        # At the root there is no edge: the node becomes null and the steps stay.
+        walk = walk.join(edges, ["tree_id", "node"], "left").select(
+            "tree_id", "leaf", F.col("parent").alias("node"),
+            F.concat("steps", F.coalesce("step", F.array().cast(edges.schema["step"].dataType))).alias("steps"),
+        )
+    steps = walk.select("tree_id", "leaf", F.inline("steps"))
     named = spark.createDataFrame(list(enumerate(names)), "feature_index int, feature string")
     weighted = spark.createDataFrame(list(enumerate(weights)), "tree_id int, weight double")
-    paths = stack(steps).join(F.broadcast(named), "feature_index").join(F.broadcast(weighted), "tree_id")
+    paths = steps.join(F.broadcast(named), "feature_index").join(F.broadcast(weighted), "tree_id")
     # Several splits on one feature within a path add up to one step.
     return materialize(
         paths.groupBy("tree_id", "leaf", "feature").agg(F.sum(F.col("change") * F.col("weight")).alias("change")),
