@@ -34,7 +34,7 @@ scores as (select key, (cast(split_part(key, '_', 1) as bigint) * 7919 % 1000) /
 DEVIATION = f"""
 gaps_now as (select s.key, s.churn_prob, v.last_trx_date, v.diff_mean, v.diff_std, v.value_at_risk,
     (select max(last_trx_date) from value) + 1 as order_ref_date,
-    (select max(last_trx_date) from value) + 1 - v.last_trx_date as order_diff
+    cast((select max(last_trx_date) from value) + 1 - v.last_trx_date as int) as order_diff
   from scores s left join value v on s.key = v.key),
 deviation as (select *, (order_diff - diff_mean) / nullif(diff_std, 0) as z from gaps_now),
 risked as (select * exclude (z),
