@@ -24,16 +24,31 @@ def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).select(*df.columns)
 
 
-def attach(base: DataFrame, lookup: DataFrame, on: Sequence[str], check: bool = True) -> DataFrame:
+def splittable(lookup: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The lookup, shuffled anew for a join with rows that may share one hot key.
+
+    AQE splits a hot partition only if both sides of the join come straight from a shuffle. A
+    lookup grouped by the join keys would reuse its grouping's shuffle and so prevent that;
+    rewriting the first key (to the same value) makes Spark shuffle the few grouped rows again.
+    """
+    first = on[0]
+    kind = dict(lookup.dtypes)[first]
+    same = F.concat(first, F.lit("")) if kind == "string" else F.col(first).cast("string").cast(kind)
+    return lookup.withColumn(first, same)
+
+
+def attach(base: DataFrame, lookup: DataFrame, on: Sequence[str], check: bool = True, hot: bool = False) -> DataFrame:
     """Left join to a lookup with one row per key: row count of `base` is kept.
 
-    `check=False` skips the test for lookups that are grouped by `on` already.
+    `check=False` skips the test for lookups that are grouped by `on` already, `hot=True` is for
+    a `base` with many rows per key.
     """
     on = list(on)
     repeated = (set(base.columns) & set(lookup.columns)) - set(on)
     if repeated:
         raise ValueError(f"columns on both sides: {sorted(repeated)}")
-    return base.join(unique_on(lookup, on) if check else lookup, on, "left")
+    lookup = unique_on(lookup, on) if check else lookup
+    return base.join(splittable(lookup, on) if hot else lookup, on, "left")
 
 
 def without_listed(df: DataFrame, listed: DataFrame, column: str) -> DataFrame:
@@ -47,14 +62,14 @@ def membership(df: DataFrame, listed: DataFrame, on: Sequence[str], name: str, y
     on = list(on)
     marks = listed.select(*on).dropna().distinct().withColumn("_found", F.lit(True))
     return (
-        df.join(marks, on, "left")
+        df.join(splittable(marks, on), on, "left")
         .withColumn(name, F.when(F.col("_found"), yes).otherwise(no))
         .drop("_found")
     )
 
 
 def only_listed(df: DataFrame, listed: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(listed.select(*on), list(on), "left_semi")
+    return df.join(splittable(listed.select(*on), on), list(on), "left_semi")
 
 
 def previous_year(df: DataFrame, lookup: DataFrame, on: Sequence[str], years: int = 1, how: str = "left") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import BAND_CUTS, BAND_LABELS, SCORECARD_SHARE
 from tenderlake.functions.columns import ratio
+from tenderlake.operators.joins import splittable
 from tenderlake.storage import materialize
 
 _POSITION_BITS = (1 << 33) - 1
@@ -21,7 +22,7 @@ def group_total(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Da
     splits a hot group's rows in the join. Null keys get no total.
     """
     totals = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(name))
-    return df.join(totals, list(keys), "left")
+    return df.join(splittable(totals, keys), list(keys), "left")
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column | str) -> Column:

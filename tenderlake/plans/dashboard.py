@@ -11,6 +11,7 @@ from tenderlake.fixed_values import (
     CATEGORY_AVERAGE, CATEGORY_HIGH, CATEGORY_LOW, PERFORMANCE_HIGH, PERFORMANCE_LOW,
 )
 from tenderlake.functions.columns import cents, key_parts, percent_number
+from tenderlake.operators.joins import splittable
 from tenderlake.operators.reshape import common_keys, lookup
 from tenderlake.operators.windows import win_probability
 
@@ -50,7 +51,8 @@ def with_cluster(details: DataFrame, clustering: DataFrame) -> DataFrame:
     tags = clustering.select(
         destination.alias("destination_no"), line.alias("bid_line_no"), "Cluster"
     ).distinct()
-    return details.join(tags, ["destination_no", "bid_line_no"], "left")
+    line = ["destination_no", "bid_line_no"]
+    return details.join(splittable(tags, line), line, "left")
 
 
 def dashboard_keys(tables: Sequence[DataFrame], selected: Sequence[str] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tenderlake.fixed_values import CAPACITY_FACTOR, FILL_RATE_CALENDAR, HOUSE_ID, RIVAL_FLAG_IDS
 from tenderlake.functions.aggregates import first_non_null, first_per_key, single_valued
 from tenderlake.functions.columns import bid_key, differs_from, ratio, starts_with_word
-from tenderlake.operators.joins import attach, previous_year, with_calendar
+from tenderlake.operators.joins import attach, previous_year, splittable, with_calendar
 from tenderlake.operators.windows import capacity_share, forward_fill
 
 TYPE_COLUMNS = ["sales_region_name", "product_name", "bid_type_name", "customer_type_name"]
@@ -120,16 +120,17 @@ def region_price_movement(bids: DataFrame) -> DataFrame:
     )
     # Keys shrink to one row per region before they meet the means.
     keys = rows.select("key", "fiscal", "sales_region_name").distinct()
-    one = means.withColumnRenamed("mean", "avg_wt_awardprice_region_prev1year")
+    one = means.withColumn("fiscal", F.col("fiscal") + 1)
+    one = one.withColumnRenamed("mean", "avg_wt_awardprice_region_prev1year")
     two = means.withColumnRenamed("mean", "_prev2")
-    joined = previous_year(keys, one, ["sales_region_name"], 1, "inner")
-    joined = previous_year(joined, two, ["sales_region_name"], 2, "inner")
-    movement = ratio("avg_wt_awardprice_region_prev1year", "_prev2") - 1
-    moved = joined.select(
-        "key", "sales_region_name", "avg_wt_awardprice_region_prev1year",
-        movement.alias("per_pricemovement_region"),
+    region = ["fiscal", "sales_region_name"]
+    moves = previous_year(one, two, ["sales_region_name"], 2, "inner").select(
+        *region, "avg_wt_awardprice_region_prev1year",
+        (ratio("avg_wt_awardprice_region_prev1year", "_prev2") - 1).alias("per_pricemovement_region"),
     )
-    return first_per_key(moved, ["key"]).drop("sales_region_name")
+    moved = keys.join(splittable(moves, region), region).drop("fiscal")
+    order = ["sales_region_name"]
+    return first_per_key(moved, ["key"], order).drop("sales_region_name")
 
 
 def min_max_quantity(bids: DataFrame) -> DataFrame:
@@ -251,7 +252,8 @@ def fill_rate(bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR) -
 def bid_flags(bids: DataFrame) -> DataFrame:
     """Only bid line in its (first) state; emergency or supplemental by the first bid name."""
     picks = _line_picks(bids).select("key", "state", "bid_name")
-    return picks.join(_only_bid_states(bids), "state", "left").select("key", "is_onlybid_in_state", *_name_flags())
+    states = splittable(_only_bid_states(bids), ["state"])
+    return picks.join(states, "state", "left").select("key", "is_onlybid_in_state", *_name_flags())
 
 
 def line_attributes(bids: DataFrame, all_bids: DataFrame | None = None) -> DataFrame:
@@ -259,7 +261,7 @@ def line_attributes(bids: DataFrame, all_bids: DataFrame | None = None) -> DataF
 
     `all_bids` is what a state's only bid line is judged by, if `bids` is a part of it.
     """
-    states = _only_bid_states(bids if all_bids is None else all_bids)
+    states = splittable(_only_bid_states(bids if all_bids is None else all_bids), ["state"])
     picks = _line_picks(bids).join(states, "state", "left")
     return picks.select("key", *TYPE_COLUMNS, "rollover", "is_onlybid_in_state", *_name_flags())
 
@@ -291,7 +293,7 @@ def cluster_features(bids: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
     def per_cluster(column, measure):
-        values = offers.select("key", "fiscal", column).distinct().join(mapping, "key")
+        values = offers.select("key", "fiscal", column).distinct().join(splittable(mapping, ["key"]), "key")
         values = values.where(F.col("cluster").isNotNull()).select("fiscal", "cluster", column).distinct()
         return values.groupBy("fiscal", "cluster").agg(measure)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import HOUSE_ID
 from tenderlake.functions.columns import bid_key, differs_from
+from tenderlake.operators.joins import splittable
 
 DETAILS = [
     "key", "fiscal", "destination_no", "bid_line_no", "customer_no", "customer_name",
@@ -57,14 +58,13 @@ def bid_reference_table(bids: DataFrame, order: str = "desc", matches: str = "fi
     """
     offers = bids.where((F.col("committed_price_ty") > 0) & (F.col("award_price_ty") > 0))
     details = offers.select(*DETAILS).distinct()
-    house, last = house_offers(offers), last_year_awards(offers)
+    house, rivals, last = house_offers(offers), top_rivals(offers, order), last_year_awards(offers)
     if matches == "first":
-        house, last = _smallest_row(house), _smallest_row(last)
-    joined = (
-        details.join(house, "key", "left")
-        .join(top_rivals(offers, order), "key", "left")
-        .join(last, "key", "left")
-    )
+        # The lookups meet first, one row per key each; the details are joined once.
+        per_key = _smallest_row(house).join(rivals, "key", "outer").join(_smallest_row(last), "key", "outer")
+        joined = details.join(splittable(per_key, ["key"]), "key", "left")
+    else:
+        joined = details.join(house, "key", "left").join(rivals, "key", "left").join(last, "key", "left")
     kept = F.col("award_competitor_id") == F.col("last_yr_award_competitor_id")
     return joined.select(
         *DETAILS, "cmp_price", "cmp_won_bid", "top_competitor_id", "top_competitor_price",

@@ -284,7 +284,7 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
         .join(inputs.drivers, "key", "left")
         .withColumn("LOB", F.lit(lob))
     )
-    base = base.join(customer_table(inputs, value, lob), "Customer", "left")
+    base = attach(base, customer_table(inputs, value, lob), ["Customer"], check=False, hot=True)
 
     history = inputs.invoices if inputs.history is None else inputs.history
     customers = None if inputs.history is None else inputs.invoices.select("customer_bill_to_id").distinct()
@@ -294,7 +294,7 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
     families = inputs.products.select(
         F.col("product_family").alias("Product"), F.col("family_code").alias("Product Family Code")
     ).dropna().distinct()
-    base = attach(base, families, ["Product"])
+    base = attach(base, families, ["Product"], hot=True)
 
     # Codes are compared with dashes as underscores on both sides.
     orders = open_orders(inputs.orders, inputs.products, order_start, order_end)
@@ -303,7 +303,7 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
     names = inputs.product_names.select(
         F.col("product_key").cast("string").alias("Top Product"), F.col("product_name").alias("Top Product Name")
     ).distinct()
-    base = attach(base, names, ["Top Product"])
+    base = attach(base, names, ["Top Product"], hot=True)
     base = with_order_risk(base, value.agg(F.max("last_trx_date")))
 
     return with_risk_bands(base).select(
@@ -346,7 +346,7 @@ def layouts(card: DataFrame, lob: str, hierarchy: DataFrame | None = None) -> di
         reps = one_row_per(hierarchy.select("sales_rep", "industry", "director", "sales_manager"), ["sales_rep"], [])
         sold = attach(
             card.drop("LOB", "Region", "District", "General Manager", "Sales Manager", "Industry"),
-            reps.toDF("Seller", "Industry", "Director", "Sales Manager"), ["Seller"], check=False,
+            reps.toDF("Seller", "Industry", "Director", "Sales Manager"), ["Seller"], check=False, hot=True,
         )
         head = ["AI_Source", *HIERARCHY_COLUMNS]
     field = [*head, "Horizontal", *PRODUCT_COLUMNS, *RISK_COLUMNS, *DRIVER_COLUMNS]

@@ -247,7 +247,7 @@ def layout(s, d, lob, name):
 def program_flags(s, d):
     rows = scores(s, d).select("key", F.split("key", "_")[0].alias("Customer"))
     flags = sc.program_flags(view(s, d, views.PROGRAM_SQL))
-    return attach(rows, flags, ["Customer"], check=False).fillna(" ", ["Brenntag CPP", "Nexeo CPP"])
+    return attach(rows, flags, ["Customer"], check=False, hot=True).fillna(" ", ["Brenntag CPP", "Nexeo CPP"])
 
 
 QUERIES = {

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tenderlake.operators.joins import splittable
 from tenderlake.plans.bids import intermediate_bids
 from tenderlake.storage import materialize, tuned
 
@@ -192,7 +193,7 @@ def raw_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("award.price_competitor_id").alias("award_competitor_id"),
         )
     )
-    return offers.join(awards, line)
+    return offers.join(splittable(awards, line), line)
 
 
 def unserved(spark: SparkSession, sf_dir: str) -> DataFrame:
