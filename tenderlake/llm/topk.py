@@ -11,7 +11,7 @@ proportion to their number times the rows, which exhaustive search cannot avoid.
 
 Vectors that are null, or hold a null or non-finite component, take no part. Components missing from
 the shorter of two vectors count as zero. Rows of one id are never candidates of that id; equal rows
-count once. Ties go to the smaller id; null ids take no part. Scores beyond 64 bits stay at the limit.
+count once, and an id's different vectors are candidates of their own. Ties go to the smaller id; null ids take no part. Scores beyond 64 bits stay at the limit.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ SCALE = 1024
 GROUP = 16_384
 BLOCK = 4_096
 _TILE = 512
-_SAFE = 1 << 62
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 
 
@@ -85,33 +84,40 @@ def _selected(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))][:k]
 
 
-def _block_lists(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: list, k: int, scale: int):
+def _scanned(best: dict, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: list, k: int, scale: int) -> None:
+    """Merge one block's candidates into the lists kept for each query (by its place)."""
     weights = _weights(vectors, scale)
     postings = [(rows := np.flatnonzero(weights[:, d]), weights[rows, d]) for d in range(weights.shape[1])]
-    own_order = np.unique(ids)
-    repeated = len(own_order) < len(ids)
-    for start in range(0, len(query_ids), _TILE):
+    for start in range(0, len(queries), _TILE):
         scores = _accumulated(queries[start:start + _TILE], postings, len(ids))
-        for q, row in zip(query_ids[start:start + _TILE], scores):
-            places = _selected(row, ids, k + (np.count_nonzero(ids == q) if repeated else 1))
-            places = [p for p in places if ids[p] != q][:k]
-            yield q, ids[places], row[places]
+        for q, row in enumerate(scores, start):
+            others = ids != query_ids[q]
+            own, row = (ids, row) if others.all() else (ids[others], row[others])
+            places = _selected(row, own, k)
+            own, row = own[places], row[places]
+            if q in best:
+                own, row = np.concatenate([best[q][0], own]), np.concatenate([best[q][1], row])
+                places = _selected(row, own, k)
+                own, row = own[places], row[places]
+            best[q] = own, row
 
 
 def _group_lists(rows: DataFrame, queries, k: int, scale: int) -> DataFrame:
-    """Every block's best k for the queries of one broadcast group."""
+    """Each task's best k for the queries of one broadcast group."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_weights = queries.value
+        query_ids, weights = queries.value
+        best: dict = {}
         for batch in batches:
             for start in range(0, len(batch), BLOCK):
                 part = batch.slice(start, BLOCK)
-                out = ([], [], [])
-                for q, ids, scores in _block_lists(query_ids, query_weights, part.column(0).to_numpy(), part.column(1).to_pylist(), k, scale):
-                    out[0].extend([int(q)] * len(ids))
-                    out[1].extend(map(int, ids))
-                    out[2].extend(min(max(int(s), _LEAST), _MOST) for s in scores)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
+                _scanned(best, query_ids, weights, part.column(0).to_numpy(), part.column(1).to_pylist(), k, scale)
+        out = ([], [], [])
+        for q, (ids, scores) in best.items():
+            out[0].extend([int(query_ids[q])] * len(ids))
+            out[1].extend(map(int, ids))
+            out[2].extend(min(max(int(s), _LEAST), _MOST) for s in scores)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
     return rows.mapInArrow(scan, "query_id long, vec_id long, score long")
 
@@ -130,7 +136,7 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
 def search(rows: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k rows with the highest scores for each query: query_id, rank from 1, vec_id, score.
 
-    Queries of an id with several vectors give each candidate its highest score.
+    An id's different vectors, if it has several, ask together: their hits make one list.
     """
     spark: SparkSession = rows.sparkSession
     candidates, asked = usable(rows, key, vector), usable(queries, key, vector)
@@ -143,11 +149,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE,
         held = spark.sparkContext.broadcast((part["id"].to_numpy(np.int64), _weights(part["vec"].tolist(), scale)))
         found = _group_lists(candidates, held, k, scale)
         if groups > 1:
-            found = materialize(_merged(_best_pair(found), k).select("query_id", "vec_id", "score"), "topk")
+            found = materialize(_merged(found, k).select("query_id", "vec_id", "score"), "topk")
             held.destroy()
         done = found if done is None else done.unionByName(found)
-    return _merged(_best_pair(done), k)
+    return _merged(done, k)
 
-
-def _best_pair(lists: DataFrame) -> DataFrame:
-    return lists.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
