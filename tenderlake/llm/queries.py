@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, simhash, sql, topk, warc, wordbpe
+from tenderlake.llm import bpe, decontaminate, licenses, lines, sharding, simhash, sql, topk, warc, wordbpe
 from tenderlake.llm.common import table
 from tenderlake.storage import tuned
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.labelled(table(tuned(spark), sf_dir, "documents"))
+
+
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(table(tuned(spark), sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(tuned(spark), sf_dir, "embeddings")
     return topk.search(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
@@ -31,11 +39,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.round_trip(table(tuned(spark), sf_dir, "pages")))
 
 
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(tuned(spark), sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_licenses": op1_licenses,
+    "op2_lines": op2_lines,
     "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_bpe": op6_bpe,
     "op8_warc": op8_warc,
+    "op9_shards": op9_shards,
 }
-SQL = {"op3_topk": sql.TOPK, "op5_decontamination": sql.DECONTAMINATION, "op8_warc": sql.WARC}
+SQL = {"op1_licenses": sql.LICENSES, "op3_topk": sql.TOPK, "op5_decontamination": sql.DECONTAMINATION, "op8_warc": sql.WARC, "op9_shards": sql.SHARDING}

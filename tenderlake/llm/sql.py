@@ -1,5 +1,7 @@
 """Comparison SQL for DuckDB."""
 
+from tenderlake.llm import licenses
+
 TOPK = """
 with v as (
     select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] as w
@@ -54,3 +56,51 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
     coalesce(n_hit, 0) > 0 as contaminated
 from d left join n using (doc_id) left join t using (doc_id)
 """
+
+SHARDING = """
+with d as (
+    select doc_id, cast(strlen(coalesce(text, '')) as bigint) as bytes,
+        substr(to_binary_text, length(to_binary_text) - 59, 60) as bits
+    from (select *, bin(cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 15) as bigint) | (1::bigint << 60)) as to_binary_text from documents)
+),
+prefixes as (select doc_id, bytes, depth, substr(bits, 1, depth) as shard from d, (select unnest(range(0, 61)) as depth)),
+fitting as (select shard, depth from prefixes group by shard, depth having sum(bytes) <= 1048576 or count(*) = 1)
+select doc_id, any_value(bytes) as bytes, min(shard) as shard, cast(min(depth) as integer) as depth
+from prefixes join fitting using (shard, depth) group by doc_id
+"""
+
+
+def _template_rows() -> str:
+    rows = []
+    for t in [*licenses.PHRASES, *licenses.NOTICES]:
+        words = ", ".join(f"'{w}'" for w in t.words)
+        rows.append(f"('{t.label}', '{t.family}', [{words}], {t.needed}, {str(t.phrase).lower()})")
+    return ", ".join(rows)
+
+
+LICENSES = f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+t(label, family, words, needed, phrase) as (values {_template_rows()}),
+blocks as (select doc_id, i, w[i + 1:i + 64] as here from (select *, unnest(range(0, len(w), 32)) as i from d)),
+met as (
+    select doc_id, i, here, t.*, len(list_intersect(list_distinct(words), here)) as shared, len(list_distinct(words)) as size
+    from blocks join t on len(list_intersect(list_distinct(words), here)) >= needed
+),
+placed as (
+    select *, case when phrase then list_filter(range(1, least(32, len(here)) + 1), lambda p: here[p:p + len(words) - 1] = words) else [] end as starts
+    from met
+),
+best as (
+    select *, shared / size as contained, max(shared / size) over (partition by doc_id, i, family) as most
+    from placed where not phrase or len(starts) > 0
+),
+labels as (
+    select doc_id, sum(len(starts)) as n_base, min(i + list_min(starts) - 1) as first_word, max(i + list_max(starts) - 1) as last_word,
+        string_agg(distinct label, ',' order by label) filter (where phrase) as base_labels,
+        string_agg(distinct label, ',' order by label) as labels, max(contained) as score
+    from best where contained = most group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, first_word, last_word,
+    coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from d left join labels using (doc_id)
+"""
