@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, licenses, lines, sharding, simhash, sql, tokenfiles, topk, warc, wordbpe
+from tenderlake.llm import bpe, decontaminate, licenses, lines, sharding, simhash, sql, tokenfiles, topk, toxicity, warc, wordbpe
 from tenderlake.llm.common import table
 from tenderlake.storage import tuned
 
@@ -35,6 +35,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(tuned(spark), sf_dir, "documents"), wordbpe.vocabulary_path())
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(tuned(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.round_trip(table(tuned(spark), sf_dir, "pages")))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_bpe": op6_bpe,
+    "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_shards": op9_shards,
     "op10_tokens": op10_tokens,
