@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenderlake.llm.common import WORD_BYTES, utf8, words
+from tenderlake.llm.common import WORD_BYTES, column, utf8, words
 from tenderlake.storage import materialize
 
 WINDOW = 10
@@ -243,20 +243,19 @@ def without_spans(text: str, spans: list) -> str:
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", most_hit: float = 0.5, **options) -> DataFrame:
     """`docs` without contaminated spans; documents with over `most_hit` of their words hit go.
 
-    Documents without a hit come out as they were, other columns (n_chars too) unchanged.
+    Documents without a hit come out as they were. Other columns pass through as they are.
     """
-    found = scan(docs, benchmark, text, **options)
+    names = docs.columns
+    rows = docs.select(F.col(text).alias("text"), F.struct(*[F.col(column(c)) for c in names]).alias("row"))
+    found = scan(rows, benchmark, **options)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    found = found.where((F.size("spans") == 0) | (hit <= most_hit * F.col("n_words")))
-    place, names = found.columns.index(text), found.columns
+    found = found.where((F.size("spans") == 0) | (hit <= most_hit * F.col("n_words"))).select("row", "text", "spans")
+    schema = T.StructType(list(found.schema)[:2])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            texts = [without_spans(t.as_py(), s) if s else t.as_py() for t, s in zip(batch.column(place), spans)]
-            columns = [pa.array(texts, pa.string()) if i == place else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns[: len(docs.columns)], names=names[: len(docs.columns)])
-
-    return found.mapInArrow(cut, T.StructType(list(found.schema)[: len(docs.columns)])).select(*docs.columns)
-
+            texts = [without_spans(t, s) if s else t for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
+    kept = found.mapInArrow(cut, schema)
+    return kept.select(*[F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in names])
