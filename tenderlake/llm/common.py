@@ -7,9 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What counts as a word in the scans, and the letters that are lower-cased.
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
+# Fixed value: what counts as a word in the scans.
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words in UTF-8: every byte of a character beyond ASCII is 0x80 or more.
 WORD_BYTES = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -20,8 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lowered(text: Column) -> Column:
-    """ASCII letters in lower case; null counts as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    """The text in lower case; null counts as empty.
+
+    The two other letters whose lower case has an ASCII letter (the Kelvin sign and the dotted I) become
+    a dotless i first, so that ASCII words come out as if only A to Z had been lowered.
+    """
+    other = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0131")), F.lit("\u0130"), F.lit("\u0131"))
+    return F.lower(other)
 
 
 def utf8(text: str) -> Column:
