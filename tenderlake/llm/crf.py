@@ -43,8 +43,11 @@ class Chain:
         t01, t10, t11 = np.exp(np.clip(self.transitions, -MOST, MOST))
         by_score = np.where(mask, labels - probability, 0.0)
         f, ahead, both = forward[:-1], emit[1:] * backward[1:], mask[1:]
-        parts = np.stack([t01 * ahead, f * t10, f * t11 * ahead])
-        parts = np.where(both, parts / (1 + parts.sum(axis=0)), 0.0)
+        whole = 1 + t01 * ahead + f * t10 + f * t11 * ahead
         y, z = labels[:-1], labels[1:]
-        seen = np.stack([(1 - y) * z, y * (1 - z), y * z]) * both
-        return by_score, (seen - parts).sum(axis=(1, 2)), float(by_score[0].sum())
+        by_transition = np.array([
+            np.sum(((1 - y) * z - t01 * ahead / whole)[both]),
+            np.sum((y * (1 - z) - f * t10 / whole)[both]),
+            np.sum((y * z - f * t11 * ahead / whole)[both]),
+        ])
+        return by_score, by_transition, float(by_score[0].sum())
