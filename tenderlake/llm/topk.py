@@ -71,7 +71,7 @@ def _accumulated(queries: np.ndarray, postings: list[tuple[np.ndarray, np.ndarra
             scores += queries[:, term, None] * weights[None, :]
         else:
             scores[np.ix_(asking, rows)] += queries[asking, term, None] * weights[None, :]
-    return scores
+    return np.clip(scores, _LEAST, _MOST).astype(np.int64) if exact else scores
 
 
 def _selected(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -81,7 +81,7 @@ def _selected(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         places = np.flatnonzero(scores >= least)
     else:
         places = np.arange(len(scores))
-    return places[np.lexsort((ids[places], -scores[places]))][:k]
+    return places[np.lexsort((ids[places], ~scores[places]))][:k]
 
 
 def _scanned(best: dict, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: list, k: int, scale: int) -> None:
@@ -116,7 +116,7 @@ def _group_lists(rows: DataFrame, queries, k: int, scale: int) -> DataFrame:
         for q, (ids, scores) in best.items():
             out[0].extend([int(query_ids[q])] * len(ids))
             out[1].extend(map(int, ids))
-            out[2].extend(min(max(int(s), _LEAST), _MOST) for s in scores)
+            out[2].extend(map(int, scores))
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
     return rows.mapInArrow(scan, "query_id long, vec_id long, score long")
