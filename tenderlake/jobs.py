@@ -14,7 +14,6 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.fixed_values import FILL_RATE_CALENDAR
 from tenderlake.operators.reshape import align_columns, lookup
 from tenderlake.plans import bids, dashboard, features, modeling, reference_table, scorecard, trees
 from tenderlake.sources import ingest, tables
@@ -26,13 +25,14 @@ class Run:
     """Where tables live and which dates count.
 
     `base` is a folder (`s3a://bucket/bids`) or empty for catalog databases. Keys up to the year
-    before the run are training keys, keys of the run's year are scored.
+    before the run are training keys, keys of the run's year are scored. Without a calendar the fill rate
+    covers all due dates.
     """
 
     spark: SparkSession
     base: str
     run_date: date
-    calendar: tuple[str, str] = FILL_RATE_CALENDAR
+    calendar: tuple[str, str] | None = None
 
     @property
     def scoring_year(self) -> int:

@@ -84,13 +84,16 @@ def band_by_rank(
     wanted = round(scored_rows * share)
     ends = [int(wanted * c) for c in cuts]
     ends[-1] += 1
-    edges = _rows_at(df, score, key, [e - 1 for e in ends if e > 0])
+    edges, rows = _rows_at(df, score, key, [e - 1 for e in ends if e > 0])
     label = F.lit(labels[-1])
     for end, text in reversed(list(zip(ends, labels))):
         if end <= 0:
             continue
         edge = edges.get(end - 1)
+        if edge is None and end <= rows:
+            raise RuntimeError(f"no row at position {end - 1} of {rows}")
         if edge is None:
+            # Fewer rows than the cut: it takes all of them.
             label = F.when(F.col(score).isNotNull(), text).otherwise(label)
             continue
         before = (F.col(score) > edge[score]) | ((F.col(score) == edge[score]) & (F.col(key) <= edge[key]))
@@ -98,21 +101,18 @@ def band_by_rank(
     return df.withColumn(name, label)
 
 
-def _rows_at(df: DataFrame, score: str, key: str, positions: list[int]) -> dict:
-    """The rows at the given positions by descending score and key."""
+def _rows_at(df: DataFrame, score: str, key: str, positions: list[int]) -> tuple[dict, int]:
+    """The rows at the given positions by descending score and key, and the number of scored rows.
+
+    Only score and key are sorted; the same plan serves every size.
+    """
     scores = df.where(F.col(score).isNotNull()).select(score, key)
-    deepest = max(positions) + 1
-    rows = scores.count()
-    accuracy = 10000
-    if rows > 100 * accuracy:
-        # The approximate percentile is off by at most rows/accuracy, so with twice that as a
-        # margin the kept rows always include the deepest cut.
-        low = 1 - deepest / rows - 2 / accuracy
-        if low > 0:
-            floor = scores.agg(F.percentile_approx(score, low, accuracy)).first()[0]
-            scores = scores.where(F.col(score) >= floor)
     ranked = rank_by(scores, [F.col(score).desc(), F.col(key).asc()], "_rank")
-    return {r["_rank"]: r for r in ranked.where(F.col("_rank").isin(positions)).collect()}
+    found = ranked.groupBy().agg(
+        F.count("*").alias("rows"),
+        F.collect_list(F.when(F.col("_rank").isin(positions), F.struct("_rank", score, key))).alias("edges"),
+    ).first()
+    return {r["_rank"]: r for r in found["edges"]}, found["rows"]
 
 
 def win_probability(predictions: DataFrame, price: str = "price") -> DataFrame:

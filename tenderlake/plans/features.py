@@ -215,8 +215,14 @@ def won_quantity(bids: DataFrame) -> DataFrame:
     )
 
 
+def due_span(bids: DataFrame) -> tuple[str, str]:
+    """First and last due date; the fixed calendar if there is none."""
+    span = _due_offers(bids).agg(*[f(F.col("bid_due_date").cast("date")).cast("string") for f in (F.min, F.max)]).first()
+    return (span[0], span[1]) if span[0] else FILL_RATE_CALENDAR
+
+
 def daily_fill_rate(
-    bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR, competitor: str | None = None
+    bids: DataFrame, calendar: tuple[str, str] | None = None, competitor: str | None = None
 ) -> DataFrame:
     """Share of capacity used on every calendar day of every fiscal year, by all or one competitor.
 
@@ -228,12 +234,12 @@ def daily_fill_rate(
         bids = bids.where(F.col("price_competitor_id") == competitor)
     rates = capacity_share(won_quantity(bids), group, "bid_due_date", "total_qty_ty", CAPACITY_FACTOR)
     pairs = _due_offers(bids).select(*group).dropna().distinct()
-    days = with_calendar(pairs, *calendar, "bid_due_date")
+    days = with_calendar(pairs, *(calendar or due_span(bids)), "bid_due_date")
     every_day = days.join(rates.select(*group, "bid_due_date", "fill_rate"), [*group, "bid_due_date"], "outer")
     return every_day.withColumn("fill_rate", forward_fill("fill_rate", group, "bid_due_date"))
 
 
-def fill_rate(bids: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR) -> DataFrame:
+def fill_rate(bids: DataFrame, calendar: tuple[str, str] | None = None) -> DataFrame:
     """The house's fill rate on the due date of a won bid; first due date that has one.
 
     Won offers always find their own competitor and day, so only the house's days are looked up.
@@ -307,7 +313,7 @@ def cluster_features(bids: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def feature_groups(
-    bids: DataFrame, clusters: DataFrame, calendar: tuple[str, str] = FILL_RATE_CALENDAR,
+    bids: DataFrame, clusters: DataFrame, calendar: tuple[str, str] | None = None,
     first_fiscal: int | None = None,
 ) -> dict[str, DataFrame]:
     """The feature groups of the full table, by name. Quantity comes from the cost group only.
@@ -334,7 +340,7 @@ def feature_groups(
 
 def feature_table(
     key_table: DataFrame, bids: DataFrame, clusters: DataFrame,
-    calendar: tuple[str, str] = FILL_RATE_CALENDAR, key_columns: Sequence[str] = ("key", "date", "target"),
+    calendar: tuple[str, str] | None = None, key_columns: Sequence[str] = ("key", "date", "target"),
     first_fiscal: int | None = None,
 ) -> DataFrame:
     """Key table with all feature groups, joined on the key; repeated column names are refused.

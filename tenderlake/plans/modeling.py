@@ -27,13 +27,18 @@ from tenderlake.storage import use_checkpoints
 
 NOT_FEATURES = ("key", "date", "target")
 PREDICTION = "Predicted_price"
+# Flags without a value for bids that lack a name or a rollover mark.
+NULLABLE_FLAGS = ("is_emergency_bid", "is_supplemental_bid", "rollover")
 FILLED, HOT, INDEX = "_filled", "_hot", "_index"
 
 
 def clean_model_table(features: DataFrame) -> DataFrame:
-    """Numbers as double with infinities as null; text, key, date and target unchanged."""
+    """Numbers as double with infinities as null; text, key, date and target unchanged.
+
+    Flags that can be null become text, so that a missing one gives zeros and no mean.
+    """
     return features.select(*[
-        F.col(c) if t in ("string", "date") or c in NOT_FEATURES else finite(c).alias(c)
+        F.col(c).cast("string").alias(c) if c in NULLABLE_FLAGS else F.col(c) if t in ("string", "date") or c in NOT_FEATURES else finite(c).alias(c)
         for c, t in features.dtypes
     ])
 

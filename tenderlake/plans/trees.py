@@ -61,26 +61,31 @@ def leaf_values(nodes: DataFrame) -> DataFrame:
     return trees.select(F.transform("trees", lambda x: x["values"]).alias("values"))
 
 
+def _tree_ranges(trees: int, each: int) -> list[tuple[int, int]]:
+    """Ranges (first, end) of at most `each` trees, or one, that cover all of them."""
+    each = max(1, each)
+    return [(first, min(first + each, trees)) for first in range(0, trees, each)]
+
+
 def with_tree_prices(
-    scored: DataFrame, nodes: DataFrame, name: str = "tree_prices", key: str = "key",
-    most_nodes: int = BROADCAST_NODES,
+    scored: DataFrame, nodes: DataFrame, name: str = "tree_prices", most_nodes: int = BROADCAST_NODES
 ) -> DataFrame:
     """Add the array of every tree's prediction from the scored leaf vector.
 
-    Up to `most_nodes` nodes the leaf values are one constant sent to every task, so no row is
-    multiplied or shuffled. A larger model is joined as a table, with one row per key and tree.
+    Leaf values are constants sent to every task, each for as many trees as hold `most_nodes` nodes
+    (at least one), so that no row is multiplied or shuffled, whatever the model's size.
     """
     leaves = vector_to_array("leaf").cast("array<int>")
-    if nodes.count() <= most_nodes:
-        values = leaf_values(nodes).scalar()
-        return scored.withColumn("_values", values).withColumn(
-            name, F.zip_with(leaves, "_values", lambda leaf, tree: F.get(tree, leaf))
-        ).drop("_values")
-    rows = scored.select(key, F.posexplode(leaves).alias("tree_id", "leaf"))
-    priced = rows.join(leaf_table(nodes).select("tree_id", "leaf", "value"), ["tree_id", "leaf"])
-    arrays = priced.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("tree_id", "value"))).alias("_trees"))
-    arrays = arrays.select(key, F.transform("_trees", lambda t: t["value"]).alias(name))
-    return scored.join(arrays, key)
+    sizes = nodes.groupBy("tree_id").agg(F.count("*").alias("n")).agg(F.count("*"), F.max("n")).first()
+    parts = []
+    for first, end in _tree_ranges(sizes[0], most_nodes // max(sizes[1] or 1, 1)):
+        values = leaf_values(nodes.where(F.col("tree_id").between(first, end - 1))).scalar()
+        column = f"_values_{first}"
+        scored = scored.withColumn(column, values)
+        own = F.slice(leaves, F.lit(first + 1), F.lit(end - first))
+        parts.append((column, F.zip_with(own, column, lambda leaf, tree: F.get(tree, leaf))))
+    prices = F.concat(*[p for _, p in parts]) if parts else F.array().cast("array<double>")
+    return scored.withColumn(name, prices).drop(*[c for c, _ in parts])
 
 
 def tree_price_rows(priced: DataFrame, columns: Sequence[str] = ("key",)) -> DataFrame:
@@ -164,15 +169,21 @@ def root_value(nodes: DataFrame, weights: Sequence[float]) -> float:
     return sum(weights[r["tree_id"]] * r["value"] for r in roots)
 
 
-def contributions(scored: DataFrame, paths: DataFrame, path_rows: int, key: str = "key") -> DataFrame:
+def contributions(
+    scored: DataFrame, paths: DataFrame, trees: int, path_rows: int, key: str = "key", most_rows: int = BROADCAST_NODES
+) -> DataFrame:
     """Contribution of each feature to each row's value: (key, feature, contribution).
 
-    A row's steps are summed per feature within its own task before the shuffle. The path table
-    is broadcast up to a fixed size (`path_rows` is its known bound) and joined normally beyond it.
+    A row's steps are summed per feature within its own task before the shuffle. Paths are broadcast
+    in ranges of trees, each of at most `most_rows` rows by the known bound `path_rows` of all trees.
     """
     leaves = scored.select(key, F.posexplode(vector_to_array("leaf").cast("array<int>")).alias("tree_id", "leaf"))
-    side = F.broadcast(paths) if path_rows <= BROADCAST_NODES else paths
-    return leaves.join(side, ["tree_id", "leaf"]).groupBy(key, "feature").agg(F.sum("change").alias("contribution"))
+    met = None
+    for first, end in _tree_ranges(trees, most_rows * trees // max(path_rows, 1)):
+        within = F.col("tree_id").between(first, end - 1)
+        part = leaves.where(within).join(F.broadcast(paths.where(within)), ["tree_id", "leaf"]).select(key, "feature", "change")
+        met = part if met is None else met.unionByName(part)
+    return met.groupBy(key, "feature").agg(F.sum("change").alias("contribution"))
 
 
 def explain_model(scored: DataFrame, model, names: Sequence[str]) -> DataFrame:
@@ -184,4 +195,4 @@ def explain_model(scored: DataFrame, model, names: Sequence[str]) -> DataFrame:
     weights = tree_weights(model)
     nodes = node_table(model, scored.sparkSession)
     paths = path_table(nodes, names, weights, depth)
-    return contributions(scored, paths, len(weights) * 2**depth * depth)
+    return contributions(scored, paths, len(weights), len(weights) * 2**depth * depth)

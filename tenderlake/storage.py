@@ -25,7 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    # local-cluster[...] has executors with folders of their own.
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = context.applicationId
     if app not in _LOCAL_FOLDERS:

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tenderlake.fixed_values import HOUSE_ID
 from tenderlake.plans import bids as bid_plans
 from tenderlake.plans import features, reference_table
 from tests.conftest import rows
@@ -93,6 +94,13 @@ def test_contract_days_with_missing_date(make):
     assert rows(features.contract_timeframe(table)) == [("2019_H1_1", 10.0), ("2019_H1_2", None)]
 
 
+def test_fill_rate_covers_all_due_dates_without_a_calendar(spark, sf_dir):
+    bids = views.bids(spark, sf_dir).withColumn("bid_due_date", F.add_months("bid_due_date", 12 * 26))
+    won = bids.where((F.col("price_competitor_id") == HOUSE_ID) & (F.col("award_competitor_id") == HOUSE_ID))
+    won = won.where("fiscal is not null and bid_due_date is not null").select("key").distinct()
+    assert features.fill_rate(bids).where("fill_rate_CMP is not null").select("key").join(won, "key").count() == won.count() > 0
+
+
 def test_fill_rate_before_first_win_and_outside_the_calendar(make):
     calendar = ("2019-01-01", "2019-12-31")
     table = make(

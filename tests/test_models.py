@@ -50,7 +50,7 @@ def test_mean_of_trees_is_the_forest_prediction(spark, sf_dir):
     assert win_probability(long).where("win_probability = 100").count() == len(got)
 
 
-def test_large_models_are_joined(spark, sf_dir):
+def test_constants_of_single_trees_give_the_same_prices(spark, sf_dir):
     _, model, scored = q.forest(spark, sf_dir)
     nodes = trees.node_table(model, spark)
     sent = trees.tree_price_rows(trees.with_tree_prices(scored, nodes)).collect()
