@@ -37,7 +37,8 @@ def _closed(open_rows: DataFrame, depth: int, limit: int) -> DataFrame:
     each = sums.select("full", "bytes", "n", F.explode(lengths).alias("length")).withColumn("prefix", F.expr("substring(full, 1, length)"))
     fits = each.groupBy("prefix").agg(F.sum("bytes").alias("total"), F.sum("n").alias("rows"))
     fits = fits.where((F.col("total") <= limit) | (F.col("rows") == 1)).select(F.col("prefix").alias("fitting"))
-    found = each.join(fits, F.col("prefix") == F.col("fitting"), "left")
+    # All of a table's prefixes share the short ones, so Spark must be free to split this join.
+    found = each.join(splittable(fits, ["fitting"]), F.col("prefix") == F.col("fitting"), "left")
     # Of the fitting prefixes of one path, the shortest sorts first.
     return found.groupBy("full").agg(F.min("fitting").alias("shard"))
 
