@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from array import array
+from random import Random
 
 import pytest
 import xxhash
@@ -197,6 +198,52 @@ def test_lines_keep_one_of_each_group(spark, empty):
     assert lines.digests(empty).count() == 0 and lines.without_repeated_lines(empty).count() == 0
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def line_hash(line):
+    stripped = [w.strip(lines._SIGNS) for w in set(line.split(" "))]
+    hashes = [xxhash.xxh64_intdigest(w, 42) for w in stripped if w]
+    return sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in hashes) > len(hashes))
+
+
+def test_groups_of_lines_against_all_pairs(spark):
+    random = Random(5)
+    vocabulary = [f"word{i * i}" for i in range(400)]
+    found = set()
+    for _ in range(4):
+        base = random.sample(vocabulary, 30)
+        for _ in range(25):
+            copy = list(base)
+            for _ in range(random.randrange(4)):
+                copy[random.randrange(30)] = random.choice(vocabulary)
+            found |= {" ".join(copy), " ".join(copy) + "!", " ".join(sorted(copy) if random.random() < 0.3 else copy)}
+    texts = sorted(found)
+    hashes = [line_hash(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(texts):
+        for j in range(i):
+            if (hashes[i] ^ hashes[j]).bit_count() <= 3 and top(i) != top(j):
+                if edit_distance(a, texts[j]) <= 0.2 * max(len(a), len(texts[j])):
+                    root[max(top(i), top(j))] = min(top(i), top(j))
+    removed = {i for i in range(len(texts)) if top(i) != i}
+    assert 40 < len(removed) < len(texts) - 8
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in lines.digests(docs).collect() if r["n_removed"]} == removed
+
+
 def test_shards_fit_and_split_rows_of_one_key(spark, empty):
     rows = [(7, "x" * 100)] * 50 + [(i, "y" * 100) for i in range(50)] + [(None, "z" * 5000), (3, None)]
     found = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), limit=1000).collect()
