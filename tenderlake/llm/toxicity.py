@@ -4,7 +4,8 @@ Labels are given by document. A word's features are the word and its first three
 feature is a marker if it stands in toxic documents more often than chance allows (a likelihood-ratio
 test over all features seen); the labelled tokens are the words of toxic documents that have a
 marker. The CRF learns the markers' weights and the transitions from these tokens, and a logistic
-regression on a document's marginals turns them into a score.
+regression on a document's marginals turns them into a score. Its classes weigh what they weigh among
+all labelled documents, not in the sample.
 
 The model is fitted on a bounded sample of labelled rows (`SAMPLE` of either label, those whose hashed
 ids come first) and holds at most `MARKERS` markers, so it is broadcast. Scoring is row-local.
@@ -95,12 +96,25 @@ def sequences(scores: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(filled.T), np.ascontiguousarray(mask.T)
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, each: int, held_out: int | None) -> DataFrame:
-    """Texts and labels of the sample; its ids, bounded by `each`, are broadcast to the documents."""
+def _labelled(labels: DataFrame, key: str, label: str, held_out: int | None) -> DataFrame:
+    """(of, toxic): one row per labelled id, but for the fold `held_out`."""
     rows = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
     if held_out is not None:
         rows = rows.where(fold(key) != held_out)
-    rows = rows.groupBy(F.col(key).alias("of")).agg((F.max(F.col(label).cast("int")) > 0).alias("toxic"))
+    return rows.groupBy(F.col(key).alias("of")).agg((F.max(F.col(label).cast("int")) > 0).alias("toxic"))
+
+
+def _toxic_share(docs: DataFrame, labels: DataFrame, key: str, label: str, held_out: int | None) -> float:
+    """The share of toxic documents among all labelled ones."""
+    rows = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    rows = rows.join(_labelled(labels, key, label, held_out), F.col("key") == F.col("of"))
+    total = rows.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("toxic"), F.col("n"))).alias("toxic")).first()
+    return (total["toxic"] or 0) / total["n"] if total["n"] else 0.0
+
+
+def _sampled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, each: int, held_out: int | None) -> DataFrame:
+    """Texts and labels of the sample; its ids, bounded by `each`, are broadcast to the documents."""
+    rows = _labelled(labels, key, label, held_out)
     order = [F.xxhash64(F.lit("sample"), "of"), "of"]
     picked = [rows.where(condition).orderBy(*order).limit(each) for condition in (F.col("toxic"), ~F.col("toxic"))]
     ids = F.broadcast(picked[0].unionByName(picked[1]))
@@ -166,7 +180,11 @@ def _chain_rows(sample: DataFrame, each: int) -> tuple[list[list[bytes]], np.nda
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", each: int = SAMPLE, held_out: int | None = 0) -> Model:
-    """Fit on at most `each` documents of either label, none of the fold `held_out`."""
+    """Fit on at most `each` documents of either label, none of the fold `held_out`.
+
+    Only the share of toxic documents is that of all labelled documents outside the fold, so that scores
+    do not depend on which labels are cut at `each`.
+    """
     markers, n_toxic, n_clean = _markers(_counted(_sampled(docs, labels, key, text, label, each, held_out)))
     if not n_toxic or not n_clean:
         return Model()
@@ -192,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     model = Model(dict(zip(markers, weights.tolist())), bias, chain)
     x = np.array([summary(m) for m in model.marginals(texts)])
     counts = np.array([(~toxic).sum(), toxic.sum()])
-    prior = np.array([n_clean, n_toxic]) / np.maximum(counts, 1)
+    share = _toxic_share(docs, labels, key, label, held_out)
+    prior = (n_clean + n_toxic) * np.array([1 - share, share]) / np.maximum(counts, 1)
     model.calibration, model.known = _logistic(x, toxic, prior[toxic.astype(int)]), None
     return model
 

@@ -280,6 +280,15 @@ def test_toxicity_learns_markers(spark, empty):
     assert toxicity.scores(empty, labels).count() == 0
 
 
+def test_toxic_share_is_that_of_all_labels(spark):
+    # Nothing tells the labels apart, so every score is the share of toxic documents; labels without documents do not count.
+    docs = spark.createDataFrame([(i, "the river runs past the old mill") for i in range(1000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(1000)] + [(2000 + i, 1) for i in range(100)], "doc_id long, toxic int")
+    for each in (100, 10_000):
+        model = toxicity.fit(docs, labels, each=each, held_out=None)
+        assert model.score(model.marginals([[b"river"]])[0]) == pytest.approx(0.1, abs=0.01)
+
+
 def test_topk_against_brute_force(spark):
     import math
     import random
