@@ -129,28 +129,41 @@ def links(found: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     return joined.select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = MOST_BITS) -> DataFrame:
-    """One row per row of `docs`: key, fingerprint, component_id (the smallest key reachable)."""
-    rows = materialize(fingerprints(docs, key, text), "fingerprints")
+def _classes(rows: DataFrame, bits: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint in `rows`, which have key and fingerprint.
+
+    The root is one fingerprint of the group, never null; component_id is the smallest key of the group.
+    """
     distinct = materialize(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("key").alias("first")), "distinct")
     roots = components(links(distinct, bits), "u", "v")
     classes = distinct.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = classes.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
-    classes = classes.select("fp", "root").join(smallest, F.col("root") == F.col("r")).select("fp", "component_id")
-    classes = classes.select((F.col("fp") + F.lit(0).cast("long")).alias("fp"), "component_id")
-    joined = rows.join(classes, F.col("fingerprint") == F.col("fp"))
+    classes = classes.select("fp", "root").join(smallest, F.col("root") == F.col("r"))
+    return classes.select((F.col("fp") + F.lit(0).cast("long")).alias("fp"), "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = MOST_BITS) -> DataFrame:
+    """One row per row of `docs`: key, fingerprint, component_id (the smallest key reachable)."""
+    rows = materialize(fingerprints(docs, key, text), "fingerprints")
+    joined = rows.join(_classes(rows, bits).drop("root"), F.col("fingerprint") == F.col("fp"))
     text_form = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return joined.select(F.col("key").alias(key), text_form.alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = MOST_BITS) -> DataFrame:
-    """`docs` with one row of each near-duplicate group: that of the smallest key.
+    """`docs` with exactly one row of each near-duplicate group: that of the smallest key.
 
-    Of rows that repeat this key, the one whose columns sort first stays. A group without any key
-    other than null keeps one row with a null key.
+    Of the group's rows with this key, the one whose columns sort first stays. Rows are found again by
+    key and text, so groups that share a key, or have none other than null, keep a row each.
     """
-    found = near_duplicates(docs, key, text, bits)
-    keep = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("kept")).distinct()
-    kept = docs.join(keep, F.col(key).eqNullSafe(F.col("kept"))).drop("kept")
-    first = F.min(F.struct(*[F.col(column(c)) for c in docs.columns]))
-    return kept.groupBy(F.col(key).alias("kept")).agg(first.alias("row")).select("row.*")
+    text_id = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    named = docs.select(F.struct(F.col(key).alias("key"), text_id.alias("text_id")).alias("at"), F.col(text).alias("text"))
+    rows = materialize(fingerprints(named, "at", "text").select("key.key", "key.text_id", "fingerprint"), "fingerprints")
+    found = rows.join(_classes(rows, bits), F.col("fingerprint") == F.col("fp"))
+    keep = found.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key", "text_id", "root").distinct()
+    # Shuffled anew for the join, whose hot keys Spark may split then.
+    keep = keep.select(F.col("key").alias("kept"), F.concat("text_id", F.lit(b"")).alias("kept_text"), "root")
+    rows = docs.select(F.struct(*[F.col(column(c)) for c in docs.columns]).alias("row"))
+    row_text = F.unhex(F.md5(F.coalesce(F.col("row")[text], F.lit(""))))
+    kept = rows.join(keep, F.col("row")[key].eqNullSafe(F.col("kept")) & (row_text == F.col("kept_text")))
+    return kept.groupBy("root").agg(F.min("row").alias("row")).select("row.*")

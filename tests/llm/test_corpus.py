@@ -115,6 +115,16 @@ def test_simhash_groups(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.representatives(empty).count() == 0
 
 
+def test_each_group_keeps_one_row_whatever_its_keys(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(30)) for name in ("ash", "birch", "cedar", "elm", "fir")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[4]), (5, texts[3]), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    want = [(None, texts[0], 0), (None, texts[1], 1), (7, texts[2], 4), (5, texts[3], 8), (7, texts[4], 6), (9, None, 9)]
+    assert pairs(kept, *docs.columns) == sorted(want, key=str)
+
+
 def test_keys_find_all_errors_of_three_bits(spark):
     import random
 
