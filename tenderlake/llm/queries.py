@@ -15,7 +15,7 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.digests(table(tuned(spark), sf_dir, "documents"))
+    return lines.digests(table(tuned(spark), sf_dir, "documents"), shingles=True)
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,6 +254,28 @@ def test_groups_of_lines_against_all_pairs(spark):
     assert {r["doc_id"] for r in lines.digests(docs).collect() if r["n_removed"]} == removed
 
 
+def test_shingles_find_lines_by_edit_similarity_alone(spark):
+    random = Random(11)
+    word = lambda: "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(random.randrange(2, 10)))
+    texts = []
+    for n in range(150):
+        if n % 3 == 2:
+            base = copy = [chr(random.randrange(0x4E00, 0x9000)) for _ in range(random.randrange(30, 90))]
+            copy = [chr(random.randrange(0x4E00, 0x9000)) if random.random() < 0.05 else c for c in base]
+            texts += ["".join(base), "".join(copy)]
+        else:
+            base = [word() for _ in range(random.choice((10, 20, 27, 40)))]
+            copy = list(base)
+            for _ in range(max(1, len(base) // 10)):
+                copy[random.randrange(len(base))] = word()
+            texts += [" ".join(base), " ".join(copy)]
+    alike = {i for i in range(1, len(texts), 2) if edit_distance(texts[i - 1], texts[i]) <= 0.2 * max(map(len, texts[i - 1:i + 1]))}
+    assert len(alike) > 120
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"] for r in lines.digests(docs, shingles=True).collect() if r["n_removed"]}
+    assert found <= alike and len(found) >= 0.97 * len(alike)
+
+
 def test_shards_fit_and_split_rows_of_one_key(spark, empty):
     rows = [(7, "x" * 100)] * 50 + [(i, "y" * 100) for i in range(50)] + [(None, "z" * 5000), (3, None)]
     found = sharding.shards(spark.createDataFrame(rows, "doc_id long, text string"), limit=1000).collect()
