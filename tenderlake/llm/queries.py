@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, licenses, lines, sharding, simhash, sql, tokenfiles, topk, toxicity, warc, wordbpe
+from tenderlake.llm import bpe, decontaminate, licenses, lines, packing, sharding, simhash, sql, tokenfiles, topk, toxicity, warc, wordbpe
 from tenderlake.llm.common import table
 from tenderlake.storage import tuned
 
@@ -51,6 +51,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(tuned(spark), sf_dir, "documents"), wordbpe.vocabulary_path())
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(table(tuned(spark), sf_dir, "documents"), wordbpe.vocabulary_path())
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_lines": op2_lines,
@@ -62,5 +66,6 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_shards": op9_shards,
     "op10_tokens": op10_tokens,
+    "op13_packing": op13_packing,
 }
 SQL = {"op1_licenses": sql.LICENSES, "op3_topk": sql.TOPK, "op5_decontamination": sql.DECONTAMINATION, "op8_warc": sql.WARC, "op9_shards": sql.SHARDING}
