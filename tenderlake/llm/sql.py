@@ -57,6 +57,35 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
 from d left join n using (doc_id) left join t using (doc_id)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+DIVERGENCE = rf"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, {_LOWER} as text, row_number() over () as id from documents),
+w as (select lang, source, id, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term, count(*) as lang_n from w group by all having count(distinct id) >= 10),
+size as (select lang, count(*) as v, sum(lang_n) as total from kept group by lang),
+c as (select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all),
+g as (select lang, source, coalesce(sum(n), 0) as total from (select distinct lang, source from d) left join c using (lang, source) group by all),
+cells as (
+    select g.lang, g.source, term, coalesce(c.n, 0) as n,
+        1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (g.total + 2 * s.v) as p,
+        1 + (1000000000::hugeint * (k.lang_n + 2)) // (s.total + 2 * s.v) as q
+    from g join size s using (lang) join kept k using (lang) left join c using (lang, source, term)
+),
+sums as (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from cells a join cells b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+found as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join sums s on a.lang = s.lang and a.source = s.source and b.source = s.item
+    union all
+    select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from cells where n > 0 and p > q
+),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from ranked where part = 'pair' or rank <= 10
+"""
+
 SHARDING = """
 with d as (
     select doc_id, cast(strlen(coalesce(text, '')) as bigint) as bytes,
