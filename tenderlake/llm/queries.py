@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import bpe, decontaminate, divergence, licenses, lines, packing, sharding, simhash, sql, tokenfiles, topk, toxicity, warc, wordbpe
+from tenderlake.llm import bpe, decontaminate, divergence, licenses, lines, packing, sharding, simhash, sql, tokenfiles, topk, toxicity, treap, warc, wordbpe
 from tenderlake.llm.common import table
 from tenderlake.storage import tuned
 
@@ -51,6 +51,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(table(tuned(spark), sf_dir, "documents"), wordbpe.vocabulary_path())
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap.search(table(tuned(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(tuned(spark), sf_dir, "documents"))
 
@@ -70,7 +74,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_shards": op9_shards,
     "op10_tokens": op10_tokens,
+    "op11_lexical": op11_lexical,
     "op12_divergence": op12_divergence,
     "op13_packing": op13_packing,
 }
-SQL = {"op1_licenses": sql.LICENSES, "op3_topk": sql.TOPK, "op5_decontamination": sql.DECONTAMINATION, "op8_warc": sql.WARC, "op9_shards": sql.SHARDING, "op12_divergence": sql.DIVERGENCE}
+SQL = {"op1_licenses": sql.LICENSES, "op3_topk": sql.TOPK, "op5_decontamination": sql.DECONTAMINATION, "op8_warc": sql.WARC, "op9_shards": sql.SHARDING, "op11_lexical": sql.LEXICAL, "op12_divergence": sql.DIVERGENCE}

@@ -86,6 +86,28 @@ ranked as (select *, row_number() over (partition by lang, source, part order by
 select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from ranked where part = 'pair' or rank <= 10
 """
 
+LEXICAL = rf"""
+with d as (select doc_id, {_LOWER} as text, row_number() over () as id from documents),
+w as (select id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+tf as (select id, term, count(*) as tf from w group by all),
+df as (select term, count(*) as df from tf group by term),
+n as (select id, sum(tf) as n from tf group by id),
+size as (select count(*) as total, sum(n) as terms from n),
+m as (select id, 50 + (50 * n::bigint * total) // terms::bigint as m from n, size),
+b as (select item_id, {_LOWER} as text, row_number() over () as item from benchmark),
+asked as (select distinct item, item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from b),
+weighed as (select a.*, cast(floor(1000 * ln((2 * total + 2)::double / (2 * df + 1)::double)) as bigint) as weight from asked a join df using (term), size),
+scored as (
+    select item, item_id, id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as score
+    from weighed join tf using (term) join m using (id) group by all
+),
+ranked as (
+    select item_id, doc_id, score, row_number() over (partition by item order by score desc, doc_id nulls last) as rank
+    from scored join d using (id) where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score from ranked where rank <= 50
+"""
+
 SHARDING = """
 with d as (
     select doc_id, cast(strlen(coalesce(text, '')) as bigint) as bytes,
