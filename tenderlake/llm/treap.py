@@ -44,14 +44,14 @@ from tenderlake.storage import new_path
 
 FIRST = 50
 # Impacts of a block, bytes of items searched at once, ranges opened at once, and parts of a first ranking.
-BLOCK_IMPACTS = 4_000_000
+BLOCK_IMPACTS = 1_500_000
 CHUNK_BYTES = 1 << 20
 _AT_ONCE = 64
 _PARTS = 64
 _NO_ID = (1 << 63) - 1
 # Separators of terms, and letters in lower case.
 _SEPARATED = bytes(b if b >= 0x80 or chr(b).isalnum() else 32 for b in range(256)).lower()
-_ONES = np.array([i.bit_count() for i in range(16)], np.int64)
+_ONES = np.array([i.bit_count() for i in range(16)], np.int32)
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -114,20 +114,22 @@ class Grid:
     def read(cls, masks: bytes, lacks: bytes, sizes: list[int]) -> Grid:
         mask = np.frombuffer(masks, np.uint8)
         ones = _ONES[mask]
-        first = 1 + np.r_[0, np.cumsum(ones)]
-        most = -np.frombuffer(lacks, np.int32).astype(np.int64)
-        above = np.repeat(np.arange(len(mask)), ones)
+        first = np.cumsum(np.r_[np.int32(1), ones[:-1]], dtype=np.int32)
+        most = -np.frombuffer(lacks, np.int32)
+        above = np.repeat(np.arange(len(mask), dtype=np.int32), ones)
         ends = np.cumsum(sizes)
         for start, end in zip(ends[:-1], ends[1:]):
             most[start:end] += most[above[start - 1:end - 1]]
-        return cls(np.r_[mask, np.zeros(len(most) - len(mask) + 1, np.uint8)], np.r_[first[:-1], np.zeros(len(most) - len(mask) + 1, np.int64)], np.r_[most, 0], len(sizes) - 1)
+        # Cells of single documents have no quarters.
+        rest = len(most) - len(mask) + 1
+        return cls(np.r_[mask, np.zeros(rest, np.uint8)], np.r_[first, np.zeros(rest, np.int32)], np.r_[most, np.int32(0)], len(sizes) - 1)
 
     def best(self, rows: np.ndarray, weights: np.ndarray, ids: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and columns of the k best documents, of those that score `least` or more."""
         bits = rows[None, :] >> np.arange(self.height - 1, -1, -1)[:, None] & 1
         scores, columns = np.zeros(0, np.int64), np.zeros(0, np.int64)
         number = count()
-        queue = [(-int(self.most[0] * weights.sum()), next(number), 0, 0, np.zeros(len(rows), np.int64))]
+        queue = [(-int(self.most[0]) * int(weights.sum()), next(number), 0, 0, np.zeros(len(rows), np.int64))]
         while queue and -queue[0][0] >= least:
             opened = [heapq.heappop(queue) for _ in range(min(_AT_ONCE, len(queue)))]
             opened = [x for x in opened if -x[0] >= least]
