@@ -8,9 +8,12 @@ Archives go through Spark's text writer, which commits whole files or none: a re
 its closing blank lines are the line separator. Reading parses records by Content-Length and joins
 the three kinds on the id of the response, one nested row per capture.
 
-Null html or url is empty; equal rows (page id, url, html) are one capture; a null page id is
-written as an empty field and read back as null, and counts as smaller than any id. Of captures with
-one page id and one payload, the one with the largest url is the response.
+Null html or url is empty; line breaks in a url are written as blanks. Every row is a capture: of equal
+rows (page id, url, html) one is as if it stood alone, the others are copies of it with ids of their own.
+A null page id is written as an empty field and read back as null, and counts as smaller than any id. Of
+captures with one page id and one payload, the one with the largest url is the response. Pages of any
+size that one task can hold are written whole, each in one record. Other columns are ignored, whatever
+their names. An empty table gives an empty archive and no captures.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.operators.joins import splittable
-from tenderlake.storage import new_path
+from tenderlake.storage import materialize, new_path
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -33,6 +36,8 @@ LINE = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 FILE_BYTES = 32 << 20
+# Numbers that tasks are dealt to for counting equal rows.
+_PARTS = 4096
 _STATUS = f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "
 
 
@@ -61,29 +66,57 @@ def _record(kind: str, fields: list[tuple[str, Column]], body: Column) -> Column
 def _rows(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ").alias("url"),
+        F.coalesce("url", F.lit("")).alias("raw_url"),
         F.coalesce("html", F.lit("")).alias("html"),
     )
     rows = rows.select("*", F.octet_length("html").cast("long").alias("bytes"), base32_sha1(F.col("html").cast("binary")).alias("digest"))
-    return rows.withColumn("capture", F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest", "url")))
+    rows = rows.withColumn("capture", F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest", "raw_url")))
+    return rows.withColumn("url", F.regexp_replace("raw_url", r"[\r\n]", " "))
 
 
 def captures(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
-    """Distinct captures with payload size and digest, and the capture that holds the payload.
+    """Different captures with payload size and digest, the capture that holds the payload, and how many rows are equal.
 
-    Only keys are shuffled here. The holders of payloads are a joined side with an exchange of its
-    own, so that Spark can split the captures of a payload that many pages share.
+    Equal rows are counted by task (`counts` has pairs of a task's number and its rows), so that what has to be
+    written for them can be dealt over tasks again. Only keys are shuffled here. The holders of payloads are a
+    joined side with an exchange of its own, so that Spark can split the captures of a payload that many
+    pages share.
     """
-    rows = _rows(pages).drop("html").dropDuplicates(["capture"])
+    keys = ["capture", "page_id", "url", "bytes", "digest"]
+    rows = _rows(pages).select(*keys, F.pmod(F.spark_partition_id(), F.lit(_PARTS)).alias("part"))
+    rows = rows.groupBy(*keys, "part").agg(F.count("*").alias("n"))
+    rows = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("part", "n"))).alias("counts"))
     holder = F.max(F.struct("page_id", "url", "capture"))
     groups = rows.where(F.col("bytes") >= revisit_bytes).groupBy("digest").agg(holder.alias("holder"))
     return rows.join(splittable(groups, ["digest"]), "digest", "left")
 
 
+def _copies(known: DataFrame, rows: DataFrame, revisit_bytes: int) -> DataFrame:
+    """The second and further of equal rows, as captures of their own.
+
+    A copy of a payload that is stored once is a revisit and needs no html; shorter payloads are written again.
+    """
+    counted = F.transform("counts", lambda x, i: F.struct(x["part"], (x["n"] - F.when(i == 0, 1).otherwise(0)).alias("n")))
+    parts = known.withColumn("of", F.explode(counted)).where("of.n > 0").repartition("capture", "of.part")
+    copies = parts.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "of.n")).alias("copy"))
+    number = F.concat_ws("+", "capture", F.col("of.part").cast("string"), F.col("copy").cast("string"))
+    first = F.when(F.col("bytes") >= revisit_bytes, F.col("holder"))
+    copies = copies.select("page_id", "url", "bytes", "digest", "capture", number.alias("own"), first.alias("holder"))
+    stored = copies.where(F.col("bytes") >= revisit_bytes).withColumn("html", F.lit(""))
+    if revisit_bytes <= 0:
+        return stored.drop("capture").withColumnRenamed("own", "capture")
+    again = rows.where(F.col("bytes") < revisit_bytes).select("capture", "html").dropDuplicates(["capture"])
+    again = copies.where(F.col("bytes") < revisit_bytes).join(splittable(again, ["capture"]), "capture")
+    return stored.unionByName(again).drop("capture").withColumnRenamed("own", "capture")
+
+
 def records(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
     """The text of every record, in a column `value`."""
-    known = captures(pages, revisit_bytes).select("capture", "holder")
-    rows = _rows(pages).join(known, "capture").dropDuplicates(["capture"])
+    # Written, so that both uses see the same numbers of equal rows.
+    known = materialize(captures(pages, revisit_bytes), "captures")
+    rows = _rows(pages).join(known.select("capture", "holder"), "capture").dropDuplicates(["capture"])
+    rows = rows.select("page_id", "url", "bytes", "digest", "holder", "html", "capture")
+    rows = rows.unionByName(_copies(known.where((F.size("counts") > 1) | (F.col("counts")[0]["n"] > 1)), _rows(pages), revisit_bytes))
     response = _urn("response")
     revisit = F.col("holder").isNotNull() & (F.col("holder.capture") != F.col("capture"))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
