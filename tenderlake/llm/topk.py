@@ -11,7 +11,9 @@ proportion to their number times the rows, which exhaustive search cannot avoid.
 
 Vectors that are null, or hold a null or non-finite component, take no part. Components missing from
 the shorter of two vectors count as zero. Rows of one id are never candidates of that id; equal rows
-count once, and an id's different vectors are candidates of their own. Ties go to the smaller id; null ids take no part. Scores beyond 64 bits stay at the limit.
+count once, and an id's different vectors are candidates of their own. Ties go to the smaller id; null
+ids take no part. Scores are exact; those beyond 64 bits stay at the limit. Other columns are ignored,
+whatever their names. An empty table, of rows or of queries, gives no rows.
 """
 
 from __future__ import annotations
@@ -44,14 +46,14 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def _weights(vectors: list, scale: int) -> np.ndarray:
-    """Rows of floor(scale * x), padded with zeros; Python integers where 64 bits might not hold a score."""
+    """Rows of floor(scale * x), padded with zeros; Python integers where doubles might not hold a weight."""
     width = max(map(len, vectors), default=0)
     real = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         real[i, : len(v)] = v
     with np.errstate(over="ignore"):
         real = np.floor(real * scale)
-    if np.abs(real).max(initial=0) < 1 << 30:
+    if np.abs(real).max(initial=0) < 1 << 53:
         return real.astype(np.int64)
     exact = np.zeros(real.shape, dtype=object)
     for i, v in enumerate(vectors):
@@ -59,9 +61,19 @@ def _weights(vectors: list, scale: int) -> np.ndarray:
     return exact
 
 
+def _largest(weights: np.ndarray) -> int:
+    return int(np.abs(weights).max(initial=0))
+
+
 def _accumulated(queries: np.ndarray, postings: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
-    """Scores of each query against each of n candidates, a term at a time."""
-    exact = queries.dtype == object or any(w.dtype == object for _, w in postings)
+    """Scores of each query against each of n candidates, a term at a time.
+
+    Python integers are used where 64 bits might not hold a score.
+    """
+    largest = _largest(queries) * max((_largest(w) for _, w in postings), default=0)
+    exact = queries.dtype == object or any(w.dtype == object for _, w in postings) or largest * queries.shape[1] > _MOST
+    if exact:
+        queries, postings = queries.astype(object), [(rows, w.astype(object)) for rows, w in postings]
     scores = np.zeros((len(queries), n), dtype=object if exact else np.int64)
     for term, (rows, weights) in enumerate(postings[: queries.shape[1]]):
         asking = np.flatnonzero(queries[:, term])
