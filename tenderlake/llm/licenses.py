@@ -11,10 +11,14 @@ documents that hold them, rarest first. Then
 - position: what follows the shared word on either side must suffice.
 
 Pairs that pass are verified by counting the shared words. Phrases are templates with threshold 1
-whose words must also stand one after another, which is checked in the matched blocks. Of the
-templates of one family that meet a block, the ones that it contains best give the label.
-
-Null and empty texts have no words. Rows equal in key and text give equal rows. The templates are the
+whose words must also stand one after another, which is checked in the matched blocks. Every template
+that a block meets gives its label, but for one whose shared words are all among those that the block
+shares with a better contained template of its family (the notice of one license of a family is nearly
+that of another).
+
+Null and empty texts have no words. Rows equal in key and text give equal rows. Texts of any length are
+read whole; blocks keep what is compared of bounded size. Templates contained alike both give their labels.
+Other columns are ignored, whatever their names. An empty table gives no rows. The templates are the
 only broadcast table; their number is a parameter of the operator, not of the data.
 """
 
@@ -98,7 +102,7 @@ def _order(rows: DataFrame, vocabulary: list[str]) -> list[str]:
 
 
 def matches(docs: DataFrame, templates: Sequence[Template], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every block that meets a template: key, doc (hash of the text), block, template (its place), contained (share of its words), starts.
+    """Every block that meets a template: key, doc (hash of the text), block, template (its place), contained (share of its words), shared (those words), starts.
 
     `starts` are the words where a phrase that the block owns begins.
     """
@@ -124,11 +128,11 @@ def matches(docs: DataFrame, templates: Sequence[Template], key: str = "doc_id",
     keyed = blocks.select("key", "doc", "block", "here", "held", F.posexplode(prefix).alias("j", "word"))
     reach = F.least(F.col("size") - F.col("i"), F.size("held") - F.col("j"))
     pairs = keyed.join(F.broadcast(index), "word").where((F.size("held") >= F.col("needed")) & (reach >= F.col("needed")))
-    pairs = pairs.withColumn("shared", F.size(F.array_intersect("ordered", "held"))).where("shared >= needed")
+    pairs = pairs.withColumn("shared", F.array_intersect("ordered", "held")).where(F.size("shared") >= F.col("needed"))
     n = F.size("phrase")
     places = F.filter(F.sequence(F.lit(1), F.least(F.lit(STEP), F.size("here"))), lambda p: F.slice("here", p, n) == F.col("phrase"))
     at = F.when(n > 0, F.transform(places, lambda p: (F.col("block") * STEP + p - 1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    pairs = pairs.select("key", "doc", "block", "template", (F.col("shared") / F.col("size")).alias("contained"), at.alias("starts"))
+    pairs = pairs.select("key", "doc", "block", "template", (F.size("shared") / F.col("size")).alias("contained"), "shared", at.alias("starts"))
     return pairs.dropDuplicates(["key", "doc", "block", "template"])
 
 
@@ -143,11 +147,12 @@ def labelled(docs: DataFrame, phrases: Sequence[Template] = PHRASES, notices: Se
     found = found.where(~F.col("is_phrase") | (F.size("starts") > 0))
     best = found.groupBy("key", "doc", "block", "family").agg(
         F.max("contained").alias("contained"),
-        F.collect_list(F.struct("contained", "label")).alias("all"),
+        F.collect_list(F.struct("contained", "label", "shared")).alias("all"),
         F.first("is_phrase").alias("is_phrase"),
         F.flatten(F.collect_list("starts")).alias("starts"),
     )
-    top = F.transform(F.filter("all", lambda x: x["contained"] == F.col("contained")), lambda x: x["label"])
+    within = lambda x, y: (y["contained"] > x["contained"]) & (F.size(F.array_except(x["shared"], y["shared"])) == 0)
+    top = F.transform(F.filter("all", lambda x: ~F.exists("all", lambda y: within(x, y))), lambda x: x["label"])
     nothing = F.array().cast("array<string>")
     starts = F.col("starts")
     by_doc = best.select("key", "doc", "contained", top.alias("top"), "is_phrase", F.size(starts).alias("n"), F.array_min(starts).alias("low"), F.array_max(starts).alias("high"))

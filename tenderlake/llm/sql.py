@@ -134,22 +134,26 @@ with d as (select doc_id, {_WORDS} as w from documents),
 t(label, family, words, needed, phrase) as (values {_template_rows()}),
 blocks as (select doc_id, i, w[i + 1:i + 64] as here from (select *, unnest(range(0, len(w), 32)) as i from d)),
 met as (
-    select doc_id, i, here, t.*, len(list_intersect(list_distinct(words), here)) as shared, len(list_distinct(words)) as size
+    select doc_id, i, here, t.*, list_intersect(list_distinct(words), here) as common, len(list_intersect(list_distinct(words), here)) as shared,
+        len(list_distinct(words)) as size
     from blocks join t on len(list_intersect(list_distinct(words), here)) >= needed
 ),
 placed as (
     select *, case when phrase then list_filter(range(1, least(32, len(here)) + 1), lambda p: here[p:p + len(words) - 1] = words) else [] end as starts
     from met
 ),
+held as (select *, shared / size as contained, row_number() over () as at from placed where not phrase or len(starts) > 0),
 best as (
-    select *, shared / size as contained, max(shared / size) over (partition by doc_id, i, family) as most
-    from placed where not phrase or len(starts) > 0
+    select * from held x where not exists (
+        select 1 from held y where y.doc_id = x.doc_id and y.i = x.i and y.family = x.family and y.contained > x.contained
+            and len(list_intersect(x.common, y.common)) = len(x.common)
+    )
 ),
 labels as (
     select doc_id, sum(len(starts)) as n_base, min(i + list_min(starts) - 1) as first_word, max(i + list_max(starts) - 1) as last_word,
         string_agg(distinct label, ',' order by label) filter (where phrase) as base_labels,
         string_agg(distinct label, ',' order by label) as labels, max(contained) as score
-    from best where contained = most group by doc_id
+    from best group by doc_id
 )
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, first_word, last_word,
     coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
