@@ -345,7 +345,7 @@ def test_warc_transactions(spark):
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, digest string")
     found = warc.round_trip(pages)
     got = pairs(warc.page_digests(found), "page_id", "payload_bytes", "record_type", "refers_to")
-    assert got == sorted([(1, 14, "revisit", 2), (2, 14, "response", None), (3, 0, "revisit", 4), (4, 0, "response", None), (5, 4, "response", None), (None, 4, "response", None)], key=str)
+    assert got == sorted([(1, 14, "revisit", 2), (2, 14, "response", None), (3, 0, "revisit", 4), (4, 0, "response", None), (4, 0, "revisit", 4), (5, 4, "response", None), (None, 4, "response", None)], key=str)
     one = found.where("answer.payload_bytes = 14").first()
     assert bytes(one["answer"]["payload"]).decode() == rows[0][2] and one["request"]["head"].startswith("GET http://b ")
     assert warc.page_digests(warc.round_trip(pages.limit(0))).count() == 0
@@ -372,3 +372,35 @@ def test_pipeline_keeps_clean_documents(spark, sf_dir):
     ids = [r["doc_id"] for r in final.select("doc_id").collect()]
     assert len(ids) == len(set(ids)) and 0.7 * docs.count() < len(ids) < docs.count()
     assert now.where(F.col("text").isNull()).count() == 0
+
+
+def test_scores_beyond_64_bits_keep_their_order(spark):
+    rows = [(0, [1e6] * 64), (1, [1e6] * 64), (2, [9e5] * 64), (3, [-1e6] * 64), (4, [1.0] * 64), (5, [3e14]), (6, [-3e14] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r["vec_id"], r["score"]) for r in topk.search(df, df.where("vec_id = 0")).orderBy("rank").collect()]
+    exact = {i: sum(int(1024 * a) * int(1024 * b) for a, b in zip(rows[0][1], v)) for i, v in rows[1:]}
+    held = {i: min(max(s, -(1 << 63)), (1 << 63) - 1) for i, s in exact.items()}
+    assert found == sorted(held.items(), key=lambda x: (-x[1], x[0]))
+
+
+@pytest.mark.parametrize("revisit_bytes", [0, 5])
+def test_warc_writes_a_record_for_every_row(spark, revisit_bytes):
+    rows = [(1, "u", "same page")] * 5 + [(2, "u", "same page"), (3, "a\nb", "x"), (3, "a b", "x"), (3, "a b", "x"), (4, None, None), (4, "", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    found = warc.round_trip(pages, revisit_bytes)
+    got = pairs(warc.page_digests(found), "page_id", "payload_bytes", "record_type", "refers_to")
+    want = [(1, 9, "revisit", 2)] * 5 + [(2, 9, "response", None)]
+    if revisit_bytes:
+        want += [(3, 1, "response", None)] * 3 + [(4, 0, "response", None)] * 2
+    else:
+        want += [(3, 1, "response", None)] + [(3, 1, "revisit", 3)] * 2 + [(4, 0, "response", None), (4, 0, "revisit", 4)]
+    assert got == sorted(want, key=str)
+    assert found.select("capture_id").distinct().count() == len(rows)
+
+
+def test_blocks_keep_all_labels_they_meet(spark):
+    lgpl, gpl = (next(t for t in licenses.NOTICES if t.label == label) for label in ("lgpl-3.0", "gpl-3.0"))
+    text = " ".join([*lgpl.words, *gpl.words[:3], "out", *gpl.words[4:]])
+    docs = spark.createDataFrame([(1, text), (2, " ".join(lgpl.words)), (3, " ".join(gpl.words))], "doc_id long, text string")
+    found = dict(pairs(licenses.labelled(docs), "doc_id", "labels"))
+    assert found == {1: "gpl,gpl-3.0,lgpl-3.0", 2: "lgpl-3.0", 3: "gpl,gpl-3.0"}
