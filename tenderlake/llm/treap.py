@@ -4,13 +4,14 @@ A block of documents is a grid: a row for each of its terms, a column for each d
 the term's impact on the document's score. The treap cuts the grid into quarters again and again; it
 keeps of every quarter that is not empty which of its own quarters are not, and, as what it lacks to
 the quarter above, the highest impact in it. Rows stand by falling document frequency, so that the
-dense part lies in one corner.
+dense part lies in one corner, and rare terms of one document side by side.
 
 An item's terms are rows. Their paths descend jointly: a range of documents has one cell of each row, and
-the sum of the cells' maxima by weight bounds the scores in it. The range with the highest bound is
-halved first; a range of one document has its exact score. A block ends when no bound reaches the k-th
-score, that of earlier blocks of the task included. Only k rows an item and task are shuffled, and
-partial rankings come before the last one.
+the sum of the cells' maxima by weight bounds the scores in it. The ranges with the highest bounds are
+halved first, some hundred at once; a range of one document has its exact score. A block ends when no
+bound reaches the k-th score, that of earlier blocks of the task included. One block in sixteen is
+searched before the others, which begin with the k-th scores found there. Only k rows an item and task
+are shuffled, and partial rankings come before the last one.
 
 The blocks are written to the shared folder as an index of whole texts, each bounded by its number of
 impacts (one document may exceed it) and found by no other key. Weights follow from document frequencies, summed
@@ -25,28 +26,28 @@ tables give no rows.
 
 from __future__ import annotations
 
-import heapq
 import math
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderlake.llm.common import utf8
-from tenderlake.storage import new_path
+from tenderlake.storage import materialize, new_path
 
 FIRST = 50
-# Impacts of a block, bytes of items searched at once, ranges opened at once, and parts of a first ranking.
-BLOCK_IMPACTS = 1_500_000
+# Impacts of a block, bytes of items searched at once, ranges opened at once, blocks of which one leads, and parts of a first ranking.
+BLOCK_IMPACTS = 1_000_000
 CHUNK_BYTES = 1 << 20
-_AT_ONCE = 64
+_AT_ONCE = 256
+_LEADS = 16
 _PARTS = 64
 _NO_ID = (1 << 63) - 1
 # Separators of terms, and letters in lower case.
@@ -126,28 +127,35 @@ class Grid:
 
     def best(self, rows: np.ndarray, weights: np.ndarray, ids: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and columns of the k best documents, of those that score `least` or more."""
-        bits = rows[None, :] >> np.arange(self.height - 1, -1, -1)[:, None] & 1
+        bits = (rows[None, :] >> np.arange(self.height - 1, -1, -1)[:, None] & 1).astype(np.uint8)
+        # Sums of doubles are exact while they are below 2^53.
+        exact = int(weights.sum()) * 10**6 < 1 << 53
+        kind = np.float64 if exact else np.int64
+        weights = weights.astype(kind)
         scores, columns = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        number = count()
-        queue = [(-int(self.most[0]) * int(weights.sum()), next(number), 0, 0, np.zeros(len(rows), np.int64))]
-        while queue and -queue[0][0] >= least:
-            opened = [heapq.heappop(queue) for _ in range(min(_AT_ONCE, len(queue)))]
-            opened = [x for x in opened if -x[0] >= least]
-            levels, ranges, cells = np.array([x[2] for x in opened]), np.array([x[3] for x in opened]), np.stack([x[4] for x in opened])
-            masks, first = self.masks[cells], self.first[cells]
-            found = []
-            for half in (0, 1):
-                quarter = 2 * bits[levels] + half
-                below = np.where(masks >> quarter & 1, first + _ONES[masks & (1 << quarter) - 1], -1)
-                bounds = self.most[below] @ weights
-                inner = levels + 1 < self.height
-                for i in np.flatnonzero((bounds >= least) & (bounds > 0) & inner):
-                    heapq.heappush(queue, (-int(bounds[i]), next(number), int(levels[i]) + 1, int(2 * ranges[i]) + half, below[i]))
-                found.append((bounds[~inner], 2 * ranges[~inner] + half))
-            new, at = (np.concatenate(x) for x in zip(*found))
-            kept = (new >= least) & (new > 0)
-            if kept.any():
-                scores, columns = np.concatenate([scores, new[kept]]), np.concatenate([columns, at[kept]])
+        bounds, levels, ranges, cells = np.array([self.most[0] * weights.sum()]), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros((1, len(rows)), np.int32)
+        while True:
+            kept = bounds >= max(least, 1)
+            if not kept.any():
+                break
+            if not kept.all():
+                bounds, levels, ranges, cells = bounds[kept], levels[kept], ranges[kept], cells[kept]
+            opened = np.argpartition(-bounds, _AT_ONCE)[:_AT_ONCE] if len(bounds) > _AT_ONCE else np.arange(len(bounds))
+            waiting = np.ones(len(bounds), bool)
+            waiting[opened] = False
+            own, at, held = levels[opened], ranges[opened], cells[opened]
+            masks, quarter = self.masks[held], bits[own] * np.uint8(2)
+            left = self.first[held] + _ONES[masks & (np.uint8(1) << quarter) - np.uint8(1)]
+            has = masks >> quarter & 3
+            below = np.concatenate([np.where(has & 1, left, -1), np.where(has & 2, left + (has & 1), -1)])
+            found = self.most[below].astype(kind) @ weights
+            at, own = np.concatenate([2 * at, 2 * at + 1]), np.concatenate([own, own]) + 1
+            new = (found >= max(least, 1)) & (own == self.height)
+            inner = (found >= max(least, 1)) & (own < self.height)
+            bounds, levels = np.concatenate([bounds[waiting], found[inner]]), np.concatenate([levels[waiting], own[inner]])
+            ranges, cells = np.concatenate([ranges[waiting], at[inner]]), np.concatenate([cells[waiting], below[inner]])
+            if new.any():
+                scores, columns = np.concatenate([scores, found[new].astype(np.int64)]), np.concatenate([columns, at[new]])
                 places = selected(scores, ids[columns], k)
                 scores, columns = scores[places], columns[places]
                 if len(scores) == k:
@@ -160,27 +168,29 @@ def selected(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-_INDEX = "ids binary, terms array<string>, holding binary, masks binary, lacks binary, sizes array<long>"
+_INDEX = "lead boolean, ids binary, terms array<string>, holding binary, masks binary, lacks binary, sizes array<long>"
 
 
 def write_index(docs: DataFrame, key: str = "doc_id", text: str = "text", block_impacts: int = BLOCK_IMPACTS) -> tuple[DataFrame, int]:
     """The written index, one row per block, and N."""
     documents, size = statistics(docs, text)
 
-    def block(ids: list, lengths: list, terms: dict, rows: array, counts: array, held: list) -> pa.RecordBatch:
+    def block(number: int, ids: list, lengths: list, terms: dict, rows: array, counts: array, held: list) -> pa.RecordBatch:
         row, tf = np.frombuffer(rows, np.uint32).astype(np.int64), np.frombuffer(counts, np.int64)
         column = np.repeat(np.arange(len(ids)), held)
         m = np.array([50 + 50 * n * documents // size for n in lengths], np.int64)
         impacts = 10**9 * tf // (1000 * tf + 20 * m[column])
         holding = np.bincount(row)
+        # Terms are numbered as they come, so rare terms of one document stay together.
         order = np.argsort(-holding, kind="stable")
         place = np.zeros(len(order), np.int64)
         place[order] = np.arange(len(order))
         height = max(1, (max(len(ids), len(order)) - 1).bit_length())
         masks, lacks, sizes = built(place[row], column, impacts, height)
         names = list(terms)
-        out = [np.array([_NO_ID if i is None else i for i in ids], np.int64).tobytes(), [names[i] for i in order], holding[order].tobytes(), masks.tobytes(), lacks.tobytes(), sizes.tolist()]
-        kinds = [pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        lead = (TaskContext.get().partitionId() + number) % _LEADS == 0
+        out = [lead, np.array([_NO_ID if i is None else i for i in ids], np.int64).tobytes(), [names[i] for i in order], holding[order].tobytes(), masks.tobytes(), lacks.tobytes(), sizes.tolist()]
+        kinds = [pa.bool_(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
         return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(out, kinds)], names=[f.split()[0] for f in _INDEX.split(", ")])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +198,7 @@ def write_index(docs: DataFrame, key: str = "doc_id", text: str = "text", block_
             terms: dict = defaultdict(lambda: len(terms))
             return [], [], terms, array("I"), array("q"), []
 
+        number = 0
         state = ids, lengths, terms, rows, counts, held = nothing()
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -201,15 +212,16 @@ def write_index(docs: DataFrame, key: str = "doc_id", text: str = "text", block_
                 rows.extend(map(terms.__getitem__, own))
                 counts.extend(own.values())
                 if len(rows) >= block_impacts:
-                    yield block(*state)
+                    yield block(number, *state)
+                    number += 1
                     state = ids, lengths, terms, rows, counts, held = nothing()
         if ids:
-            yield block(*state)
+            yield block(number, *state)
 
     path = new_path(docs.sparkSession, "treap")
     blocks = docs.select(F.col(key).cast("long").alias("id"), utf8(text).alias("text")).mapInArrow(build, _INDEX)
     # Readers take a file's rows at once.
-    blocks.write.option("maxRecordsPerFile", 4).option("compression", "zstd").parquet(path)
+    blocks.write.partitionBy("lead").option("maxRecordsPerFile", 1).option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(_INDEX).parquet(path), documents
 
 
@@ -238,10 +250,18 @@ def _chunk(index: DataFrame, documents: int, items: list[tuple[int, list[str]]],
     place = {t: i for i, t in enumerate(vocabulary)}
     weights = np.array([weight(documents, int(n)) for n in _holding(index, vocabulary)], np.int64)
     asked = [(number, np.array([place[t] for t in terms if weights[place[t]] > 0], np.int64)) for number, terms in items]
-    held = index.sparkSession.sparkContext.broadcast((vocabulary, weights, asked))
+    leads = materialize(_ranked(_lists(index.where("lead"), vocabulary, weights, asked, {}, k), k).select("item", "doc_id", "score", "rank"), "leads")
+    # One score for each item of a chunk.
+    least = {r["item"]: r["score"] for r in leads.where(F.col("rank") == k).collect()}
+    return leads.drop("rank").unionByName(_lists(index.where("not lead"), vocabulary, weights, asked, least, k))
+
+
+def _lists(index: DataFrame, vocabulary: list[str], weights: np.ndarray, asked: list, least: dict[int, int], k: int) -> DataFrame:
+    """(item, doc_id, score): each task's best k for the items, of documents that reach the item's least score."""
+    held = index.sparkSession.sparkContext.broadcast((vocabulary, weights, asked, least))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weights, asked = held.value
+        vocabulary, weights, asked, least = held.value
         names = pa.array(vocabulary, pa.string())
         best: dict = {}
         for batch in batches:
@@ -255,8 +275,8 @@ def _chunk(index: DataFrame, documents: int, items: list[tuple[int, list[str]]],
                     if not len(own):
                         continue
                     before = best.get(number, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                    least = int(before[0][-1]) if len(before[0]) == k else 0
-                    scores, columns = grid.best(rows[own].astype(np.int64), weights[own], ids, k, least)
+                    known = max(least.get(number, 0), int(before[0][-1]) if len(before[0]) == k else 0)
+                    scores, columns = grid.best(rows[own].astype(np.int64), weights[own], ids, k, known)
                     scores, found = np.concatenate([before[0], scores]), np.concatenate([before[1], ids[columns]])
                     places = selected(scores, found, k)
                     best[number] = scores[places], found[places]
