@@ -8,41 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.fixed_values import (
-    CATEGORY_AVERAGE, CATEGORY_HIGH, CATEGORY_LOW, PERFORMANCE_HIGH, PERFORMANCE_LOW,
+    CATEGORY_AVERAGE, CATEGORY_HIGH, CATEGORY_LOW, PEER_COLUMNS, PERFORMANCE_HIGH, PERFORMANCE_LOW, REFERENCE_NAMES,
 )
 from tenderlake.functions.columns import cents, key_parts, percent_number
 from tenderlake.operators.joins import splittable
 from tenderlake.operators.reshape import common_keys, lookup
 from tenderlake.operators.windows import win_probability
-
-PRICE_COLUMNS = [
-    "key", "Predicted_price", "error_down_95", "error_up_95", "estimated_margin", "margin_lower", "margin_upper",
-]
-
-REFERENCE_NAMES = {
-    "key": "key",
-    "fiscal": "fiscal",
-    "destination_no": "destination_no",
-    "bid_line_no": "bid_line_no",
-    "Cluster": "Cluster",
-    "customer_name": "Customer Name",
-    "city_state": "City & State",
-    "destination_county_name": "City",
-    "destination_state_prov": "State",
-    "total_qty_ty": "Volume (K Tons)",
-    "bid_due_date": "Date",
-    "cmp_won_bid": "CMP Won Bid",
-    "cmp_price": "CMP Bid Price",
-    "top_competitor_id": "Top Competitor",
-    "top_competitor_price": "Top Competitor Bid Price",
-    "last_yr_award_price": "Bid Price Last Year",
-    "delta_awardprice_lastyr": "Delta YoY AwardPrice",
-    "incumbent": "Incumbent",
-}
-PEER_COLUMNS = [
-    "Customer Name", "City & State", "Volume (K Tons)", "Date", "CMP Won Bid", "CMP Bid Price",
-    "Top Competitor", "Top Competitor Bid Price", "Bid Price Last Year", "Delta YoY AwardPrice", "Incumbent",
-]
+from tenderlake.plans.reference_table import ReferenceTables, expanded
 
 
 def with_cluster(details: DataFrame, clustering: DataFrame) -> DataFrame:
@@ -126,6 +98,20 @@ def similar_bids(report: DataFrame, year: int, fiscal: int, destination: str, bi
     return peers.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in PEER_COLUMNS]).limit(n)
 
 
+def similar_offers(
+    tables: ReferenceTables, clustering: DataFrame, year: int, fiscal: int, destination: str, bidlineno: int, n: int = 5
+) -> DataFrame:
+    """Like `similar_bids`, over all house offers and awards: only the peers of the chosen bid are joined with them."""
+    tagged = with_cluster(tables.details, clustering)
+    chosen = lookup(tagged, fiscal=fiscal, destination_no=destination, bid_line_no=bidlineno)
+    cluster = chosen.select("Cluster").dropna().distinct()
+    wanted = tagged.where(F.col("fiscal") == year).join(cluster, "Cluster", "left_semi")
+    wanted = wanted.unionByName(chosen)
+    return similar_bids(
+        reference_report(with_cluster(expanded(tables, wanted), clustering)), year, fiscal, destination, bidlineno, n
+    )
+
+
 def bid_line_detail(report: DataFrame, destination: str, bidlineno: int) -> DataFrame:
     return lookup(report, destination_no=destination, bid_line_no=bidlineno).select(
         "`City & State`", "Date", "`Volume (K Tons)`", "`CMP Won Bid`"

@@ -1,20 +1,22 @@
-"""Bid reference table: house offer, top rival, last year's award and incumbent per bid."""
+"""Bid reference table: house offer, top rival, last year's award and incumbent per bid.
+
+`bid_reference_table` has one row per bid detail. A key can have several house offers and last-year
+awards; `reference_tables` keeps all of them as linked tables whose sizes add up instead of
+multiplying, `expanded` joins them for the keys one wants to see, and `totals` sums up the joined
+rows without making them.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.fixed_values import HOUSE_ID
+from tenderlake.fixed_values import HOUSE_ID, REFERENCE_DETAILS as DETAILS
 from tenderlake.functions.columns import bid_key, differs_from
 from tenderlake.operators.joins import splittable
 
-DETAILS = [
-    "key", "fiscal", "destination_no", "bid_line_no", "customer_no", "customer_name",
-    "destination_county_name", "destination_state_prov", "bid_due_date", "total_qty_ty",
-    "award_price_ty", "award_competitor_id",
-]
-
 
 def house_offers(offers: DataFrame) -> DataFrame:
     won = F.when(F.col("award_competitor_id") == HOUSE_ID, "Yes").otherwise("No")
@@ -56,7 +58,7 @@ def bid_reference_table(bids: DataFrame, order: str = "desc", matches: str = "fi
     A key can have several house offers or last-year awards. `matches="first"` attaches the
     smallest one, so a key with many rows does not multiply; `matches="all"` joins every one.
     """
-    offers = bids.where((F.col("committed_price_ty") > 0) & (F.col("award_price_ty") > 0))
+    offers = _priced(bids)
     details = offers.select(*DETAILS).distinct()
     house, rivals, last = house_offers(offers), top_rivals(offers, order), last_year_awards(offers)
     if matches == "first":
@@ -65,6 +67,15 @@ def bid_reference_table(bids: DataFrame, order: str = "desc", matches: str = "fi
         joined = details.join(splittable(per_key, ["key"]), "key", "left")
     else:
         joined = details.join(house, "key", "left").join(rivals, "key", "left").join(last, "key", "left")
+    return _compared(joined)
+
+
+def _priced(bids: DataFrame) -> DataFrame:
+    return bids.where((F.col("committed_price_ty") > 0) & (F.col("award_price_ty") > 0))
+
+
+def _compared(joined: DataFrame) -> DataFrame:
+    """The report columns of details that have met an offer and an award."""
     kept = F.col("award_competitor_id") == F.col("last_yr_award_competitor_id")
     return joined.select(
         *DETAILS, "cmp_price", "cmp_won_bid", "top_competitor_id", "top_competitor_price",
@@ -73,3 +84,85 @@ def bid_reference_table(bids: DataFrame, order: str = "desc", matches: str = "fi
         F.when(kept, F.col("award_competitor_id")).otherwise("None").alias("incumbent"),
         F.concat("destination_county_name", F.lit(", "), "destination_state_prov").alias("city_state"),
     )
+
+
+@dataclass(frozen=True)
+class ReferenceTables:
+    """Distinct details with their top rival, all house offers and all last-year awards, linked by key.
+
+    `links` has, for each key of `details`, the number of rows in each of the three, and how many
+    joined rows they stand for (a key without offers or awards keeps its details).
+    """
+
+    details: DataFrame
+    house: DataFrame
+    awards: DataFrame
+
+    @property
+    def links(self) -> DataFrame:
+        counts = self.details.groupBy("key").agg(F.count("*").alias("n_details"))
+        for table, name in ((self.house, "n_house_offers"), (self.awards, "n_last_yr_awards")):
+            counts = counts.join(table.groupBy("key").agg(F.count("*").alias(name)), "key", "left")
+        counts = counts.fillna(0, ["n_house_offers", "n_last_yr_awards"])
+        rows = F.col("n_details") * _at_least_one("n_house_offers") * _at_least_one("n_last_yr_awards")
+        return counts.withColumn("n_rows", rows)
+
+
+def _at_least_one(count: str):
+    return F.greatest(F.col(count), F.lit(1))
+
+
+def reference_tables(bids: DataFrame, order: str = "desc") -> ReferenceTables:
+    """The linked tables; their sizes add up to no more than a few times the offers.
+
+    Awards are those of keys that stand in the details a year later.
+    """
+    offers = _priced(bids)
+    details = offers.select(*DETAILS).distinct()
+    keys = details.select("key").distinct()
+    awards = last_year_awards(offers).join(splittable(keys, ["key"]), "key", "left_semi")
+    details = details.join(splittable(top_rivals(offers, order), ["key"]), "key", "left")
+    return ReferenceTables(details, house_offers(offers), awards)
+
+
+def expanded(tables: ReferenceTables, keys: DataFrame | None = None) -> DataFrame:
+    """Every detail with every house offer and award of its key, for the wanted `keys` or for all.
+
+    Keys with many of each multiply: ask for the keys that are to be shown.
+    """
+    parts = [tables.details, tables.house, tables.awards]
+    if keys is not None:
+        wanted = keys.select("key").distinct()
+        parts = [p.join(splittable(wanted, ["key"]), "key", "left_semi") for p in parts]
+    details, house, awards = parts
+    return _compared(details.join(house, "key", "left").join(awards, "key", "left"))
+
+
+def totals(tables: ReferenceTables, by: str = "fiscal") -> DataFrame:
+    """Sums over all joined rows, computed on the linked tables: rows, rows with an award to compare,
+    the sum of price changes, and rows whose award went to last year's competitor."""
+    house = tables.house.groupBy("key").agg(F.count("*").alias("n_house"))
+    awards = tables.awards.groupBy("key").agg(
+        F.count("*").alias("n_awards"), F.sum("last_yr_award_price").alias("last_prices")
+    )
+    same = tables.awards.groupBy("key", F.col("last_yr_award_competitor_id").alias("award_competitor_id")).agg(
+        F.count("*").alias("n_same")
+    )
+    # The per-key counts meet first; the details are joined once.
+    counts = house.join(awards, "key", "outer").fillna(0, ["n_house", "n_awards"])
+    met = tables.details.join(splittable(counts, ["key"]), "key", "left").fillna(0, ["n_house", "n_awards"])
+    met = met.join(splittable(same, ["key"]), ["key", "award_competitor_id"], "left")
+    times = _at_least_one("n_house")
+    change = F.col("n_awards") * F.col("award_price_ty") - F.col("last_prices")
+    return met.groupBy(by).agg(
+        F.sum(times * _at_least_one("n_awards")).alias("n_rows"),
+        F.sum(times * F.col("n_awards")).alias("n_compared"),
+        F.sum(times * change).alias("delta_awardprice_lastyr"),
+        F.coalesce(F.sum(times * F.col("n_same")), F.lit(0)).alias("n_incumbent"),
+    )
+
+
+def with_link_counts(reference: DataFrame, tables: ReferenceTables) -> DataFrame:
+    """The reference table with how many offers and awards each key has beside the ones shown."""
+    counts = tables.links.select("key", "n_house_offers", "n_last_yr_awards")
+    return reference.join(splittable(counts, ["key"]), "key", "left")

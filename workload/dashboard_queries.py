@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from tenderlake.operators import reshape
 from tenderlake.plans import dashboard
 from tenderlake.plans.features import cost_qty_distance
-from tenderlake.plans.reference_table import bid_reference_table
+from tenderlake.fixed_values import PEER_COLUMNS, REFERENCE_NAMES
+from tenderlake.plans.reference_table import (
+    bid_reference_table, reference_tables, totals, with_link_counts,
+)
 from workload.bid_queries import AWARDED, COSTS, NEXT_KEY, PRICED
 from workload.sqltext import CLUSTER_CTE, bare, over_bids
 from workload.views import CLUSTER_YEAR, IMPORTANCE_SQL, LOOKUP, bids, clusters, view, written
@@ -43,6 +46,29 @@ REFERENCE_DOUBLES = [
     "total_qty_ty", "award_price_ty", "cmp_price", "top_competitor_price", "last_yr_award_price",
     "delta_awardprice_lastyr",
 ]
+# All house offers and last-year awards, and every detail joined with all of them.
+LINKED = f"""
+all_details as (select distinct key, fiscal, destination_no, bid_line_no, customer_no, customer_name,
+  destination_county_name, destination_state_prov, bid_due_date, total_qty_ty, award_price_ty, award_competitor_id
+  from priced),
+all_house as (select distinct key, committed_price_ty as cmp_price,
+  case when award_competitor_id = 'CMP' then 'Yes' else 'No' end as cmp_won_bid
+  from priced where price_competitor_id = 'CMP'),
+all_awards as (select distinct {NEXT_KEY} as key, award_price_ty as last_yr_award_price,
+  award_competitor_id as last_yr_award_competitor_id from priced),
+link_counts as (select d.key, n_details, coalesce(n_house, 0) as n_house_offers, coalesce(n_awards, 0) as n_last_yr_awards
+  from (select key, count(*) as n_details from all_details group by key) d
+  left join (select key, count(*) as n_house from all_house group by key) h on d.key = h.key
+  left join (select key, count(*) as n_awards from all_awards group by key) a on d.key = a.key),
+joined_rows as (select d.*, h.cmp_price, h.cmp_won_bid, t.top_competitor_id, t.top_competitor_price,
+    a.last_yr_award_competitor_id, a.last_yr_award_price,
+    d.award_price_ty - a.last_yr_award_price as delta_awardprice_lastyr,
+    case when d.award_competitor_id = a.last_yr_award_competitor_id then d.award_competitor_id else 'None' end
+      as incumbent,
+    d.destination_county_name || ', ' || d.destination_state_prov as city_state
+  from all_details d left join all_house h on d.key = h.key left join tops t on d.key = t.key
+  left join all_awards a on d.key = a.key)
+"""
 TAGGED = f"""
 {CLUSTER_CTE.strip()},
 clustering as (select split_part(key, '_', 2) as destination_no, cast(split_part(key, '_', 3) as int) as bid_line_no,
@@ -51,7 +77,7 @@ tagged as (select r.*, c."Cluster" from reference_rows r left join clustering c
   on r.destination_no = c.destination_no and r.bid_line_no = c.bid_line_no)
 """
 REPORT = "report as (select " + ", ".join(
-    f'"{c}" as "{h}"' for c, h in dashboard.REFERENCE_NAMES.items()
+    f'"{c}" as "{h}"' for c, h in REFERENCE_NAMES.items()
 ) + " from tagged)"
 REPORT_DOUBLES = [
     "Volume (K Tons)", "CMP Bid Price", "Top Competitor Bid Price", "Bid Price Last Year", "Delta YoY AwardPrice",
@@ -97,6 +123,15 @@ def reference(s, d):
     return written(s, d, "reference", lambda: bid_reference_table(bids(s, d)))
 
 
+def linked(s, d):
+    """The linked tables, written once."""
+    parts = reference_tables(bids(s, d))
+    return type(parts)(*[
+        written(s, d, f"reference-{name}", lambda table=table: table)
+        for name, table in (("details", parts.details), ("house", parts.house), ("awards", parts.awards))
+    ])
+
+
 def clustering(s, d):
     return clusters(s, d).where(F.col("key").startswith(f"{CLUSTER_YEAR}_")).withColumnRenamed("cluster", "Cluster")
 
@@ -224,11 +259,50 @@ QUERIES = {
     "similar_bids": (
         lambda s, d: dashboard.similar_bids(report(s, d), CLUSTER_YEAR, **LOOKUP),
         over_bids(PRICED, REFERENCE, TAGGED, REPORT, f"""
-        select distinct {', '.join(f'"{c}"' for c in dashboard.PEER_COLUMNS)} from report
+        select distinct {', '.join(f'"{c}"' for c in PEER_COLUMNS)} from report
+        where fiscal = {CLUSTER_YEAR} and "Cluster" in (select "Cluster" from report
+          where fiscal = {LOOKUP['fiscal']} and destination_no = '{LOOKUP['destination']}'
+            and bid_line_no = {LOOKUP['bidlineno']})
+        order by {', '.join(f'"{c}" nulls last' for c in PEER_COLUMNS)} limit 5"""),
+        REPORT_DOUBLES,
+    ),
+    "reference_house_offers": (
+        lambda s, d: linked(s, d).house,
+        over_bids(PRICED, REFERENCE, LINKED, "select * from all_house"),
+        ["cmp_price"],
+    ),
+    "reference_last_awards": (
+        lambda s, d: linked(s, d).awards,
+        over_bids(PRICED, REFERENCE, LINKED, "select * from all_awards where key in (select key from all_details)"),
+        ["last_yr_award_price"],
+    ),
+    "reference_links": (
+        lambda s, d: linked(s, d).links,
+        over_bids(PRICED, REFERENCE, LINKED, """select l.*, n_rows from link_counts l
+          join (select key, count(*) as n_rows from joined_rows group by key) j on l.key = j.key"""),
+        [],
+    ),
+    "reference_with_counts": (
+        lambda s, d: with_link_counts(reference(s, d), linked(s, d)),
+        over_bids(PRICED, REFERENCE, LINKED, """select r.*, n_house_offers, n_last_yr_awards
+          from reference_rows r join link_counts l on r.key = l.key"""),
+        REFERENCE_DOUBLES,
+    ),
+    "reference_totals": (
+        lambda s, d: totals(linked(s, d)),
+        over_bids(PRICED, REFERENCE, LINKED, """select fiscal, count(*) as n_rows,
+          count(last_yr_award_price) as n_compared, sum(delta_awardprice_lastyr) as delta_awardprice_lastyr,
+          count(*) filter (incumbent <> 'None') as n_incumbent from joined_rows group by fiscal"""),
+        ["delta_awardprice_lastyr"],
+    ),
+    "similar_offers": (
+        lambda s, d: dashboard.similar_offers(linked(s, d), clustering(s, d), CLUSTER_YEAR, **LOOKUP),
+        over_bids(PRICED, REFERENCE, LINKED, TAGGED.replace("reference_rows", "joined_rows"), REPORT, f"""
+        select distinct {', '.join(f'"{c}"' for c in PEER_COLUMNS)} from report
         where fiscal = {CLUSTER_YEAR} and "Cluster" in (select "Cluster" from report
           where fiscal = {LOOKUP['fiscal']} and destination_no = '{LOOKUP['destination']}'
             and bid_line_no = {LOOKUP['bidlineno']})
-        order by {', '.join(f'"{c}" nulls last' for c in dashboard.PEER_COLUMNS)} limit 5"""),
+        order by {', '.join(f'"{c}" nulls last' for c in PEER_COLUMNS)} limit 5"""),
         REPORT_DOUBLES,
     ),
     "bid_line_detail": (
