@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,9 +80,17 @@ def band_by_rank(
 
     With N = round(share * scored_rows), rows before N*cut get that cut's label, the last cut
     includes its own position, all others get the last label. `df` must be a written table.
-    Only the rows at the cuts (at most one per cut) reach the driver; labelling is then a
-    comparison with them, without a join or a window.
+    The rows at the cuts are found by counting (see `_rows_at`); labelling is then a comparison with
+    them, without a join, a sort or a window.
     """
+    return df.withColumn(name, band_label(df, score, key, scored_rows, share, cuts, labels))
+
+
+def band_label(
+    df: DataFrame, score: str, key: str, scored_rows: int,
+    share: float = SCORECARD_SHARE, cuts: Sequence[float] = BAND_CUTS, labels: Sequence[str] = BAND_LABELS,
+) -> Column:
+    """The label of `band_by_rank` as an expression of score and key, with the cuts of `df`."""
     wanted = round(scored_rows * share)
     ends = [int(wanted * c) for c in cuts]
     ends[-1] += 1
@@ -98,21 +108,110 @@ def band_by_rank(
             continue
         before = (F.col(score) > edge[score]) | ((F.col(score) == edge[score]) & (F.col(key) <= edge[key]))
         label = F.when(before, text).otherwise(label)
-    return df.withColumn(name, label)
+    return label
+
+
+# Values of one pass of a selection are counted in so many classes; so few rows are looked at one by one.
+_CLASSES, _FEW = 1024, 4096
+# Bytes of a text key that are one number, and bits of a whole number that are: both are exact as doubles.
+_CHUNK, _HALF = 6, 32
+
+
+def _digits(df: DataFrame, score: str, key: str) -> list[Column]:
+    """Numbers that order rows by descending score, then by key: the negative score, then the key in pieces."""
+    held = F.col(key)
+    if df.schema[key].dataType.typeName() != "string":
+        number = F.coalesce(held.cast("long"), F.lit(-(1 << 63)).cast("long"))
+        pieces = [F.shiftright(number, _HALF), number.bitwiseAND(F.lit((1 << _HALF) - 1))]
+        return [-F.col(score).cast("double"), *[p.cast("double") for p in pieces]]
+    longest = df.agg(F.max(F.octet_length(key))).first()[0] or 0
+    data = F.coalesce(held, F.lit("")).cast("binary")
+    parts = [F.substring(data, 1 + at, _CHUNK) for at in range(0, longest, _CHUNK)]
+    pieces = [F.conv(F.rpad(F.hex(p), 2 * _CHUNK, "0"), 16, 10) for p in parts]
+    return [-F.col(score).cast("double"), *[p.cast("double") for p in pieces]]
+
+
+@dataclass
+class _Search:
+    """One position on its way: digits found, the range of the next one, and where it lies among its rows."""
+
+    place: int
+    found: list[float]
+    low: float
+    high: float
+    rows: int
+
+    def holds(self, digits: Sequence[Column]) -> Column:
+        """Whether a row is among those left; all of them agree once no digit is."""
+        known = [d == value for d, value in zip(digits, self.found)]
+        own = [d.between(self.low, self.high) for d in digits[len(self.found):][:1]]
+        return reduce(lambda a, b: a & b, [*known, *own])
 
 
 def _rows_at(df: DataFrame, score: str, key: str, positions: list[int]) -> tuple[dict, int]:
     """The rows at the given positions by descending score and key, and the number of scored rows.
 
-    Only score and key are sorted; the same plan serves every size.
+    Selection by counting: a pass counts the rows around each position in classes of the next digit,
+    with the least and highest value of each class, and goes on in the class that holds the position.
+    No row is moved or sorted, whatever the ties; a class of few rows is fetched at last.
     """
     scores = df.where(F.col(score).isNotNull()).select(score, key)
-    ranked = rank_by(scores, [F.col(score).desc(), F.col(key).asc()], "_rank")
-    found = ranked.groupBy().agg(
-        F.count("*").alias("rows"),
-        F.collect_list(F.when(F.col("_rank").isin(positions), F.struct("_rank", score, key))).alias("edges"),
-    ).first()
-    return {r["_rank"]: r for r in found["edges"]}, found["rows"]
+    digits = _digits(scores, score, key)
+    low, high, rows = scores.agg(F.min(digits[0]), F.max(digits[0]), F.count("*")).first()
+    wanted = {p: _Search(p, [], low, high, rows) for p in positions if p < rows}
+    while open_ := {p: s for p, s in wanted.items() if s.rows > _FEW and len(s.found) < len(digits)}:
+        for s in open_.values():
+            if s.low == s.high:
+                s.found.append(s.low)
+                s.low, s.high = -float(1 << _HALF), float(1 << 8 * _CHUNK)
+        _narrow(scores, digits, {p: s for p, s in open_.items() if len(s.found) < len(digits)})
+    return _fetched(scores, score, key, digits, wanted), rows
+
+
+def _narrow(scores: DataFrame, digits: Sequence[Column], searches: dict[int, _Search]) -> None:
+    """One pass: each search goes on in the class of its digit that holds its position."""
+    if not searches:
+        return
+    entries = []
+    for p, s in searches.items():
+        value = digits[len(s.found)]
+        # Differences, quotients and products keep the order of the values.
+        place = F.floor((value - F.lit(s.low)) / F.lit(s.high - s.low) * F.lit(float(_CLASSES)))
+        entry = F.struct(F.lit(p).alias("p"), place.cast("int").alias("class"), value.alias("value"))
+        entries.append(F.when(s.holds(digits), entry))
+    counted = scores.select(F.explode(F.array_compact(F.array(*entries))).alias("x")).groupBy("x.p", "x.class").agg(
+        F.count("*").alias("n"), F.min("x.value").alias("low"), F.max("x.value").alias("high")
+    )
+    # At most the number of classes for each position.
+    by_search: dict[int, list] = {}
+    for r in counted.collect():
+        by_search.setdefault(r["p"], []).append(r)
+    for p, classes in by_search.items():
+        s = searches[p]
+        for r in sorted(classes, key=lambda r: r["class"]):
+            if s.place < r["n"]:
+                s.low, s.high, s.rows = r["low"], r["high"], r["n"]
+                break
+            s.place -= r["n"]
+
+
+def _fetched(scores: DataFrame, score: str, key: str, digits: Sequence[Column], searches: dict[int, _Search]) -> dict:
+    """The row of each search out of the few it has left; rows that agree in score and key are one."""
+    if not searches:
+        return {}
+    marks = [F.when(s.holds(digits), F.lit(p)) for p, s in searches.items()]
+    rows = scores.select(score, key, F.explode(F.array_compact(F.array(*marks))).alias("p"))
+    counted = rows.groupBy("p", score, key).agg(F.count("*").alias("n")).collect()
+    found = {}
+    for p, s in searches.items():
+        place = s.place
+        own = [r for r in counted if r["p"] == p]
+        for r in sorted(own, key=lambda r: (-r[score], r[key] is not None, r[key].encode() if isinstance(r[key], str) else r[key])):
+            if place < r["n"]:
+                found[p] = r
+                break
+            place -= r["n"]
+    return found
 
 
 def win_probability(predictions: DataFrame, price: str = "price") -> DataFrame:

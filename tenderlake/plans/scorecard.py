@@ -23,8 +23,8 @@ from tenderlake.fixed_values import (
 )
 from tenderlake.functions.aggregates import top_by, total
 from tenderlake.functions.columns import mentions, non_negative, ratio, split_once
-from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, within_last_year
-from tenderlake.operators.windows import band_by_rank, top_names
+from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, splittable, within_last_year
+from tenderlake.operators.windows import band_label, top_names
 from tenderlake.storage import materialize
 
 
@@ -78,15 +78,20 @@ def with_risk_bands(scored: DataFrame, scored_rows: int | None = None, key: str
     """Total churn risk band per row.
 
     Rows whose churn probability is at most 0.3 of the total risk are "Unavailable"; the others
-    are banded by rank. Rows without a ratio are in neither part. The scored table is written
-    first, so that ranking and labelling see the same values.
+    are banded by rank. Rows without a ratio are in neither part. Only key and scores are written, for
+    finding the cuts; labels are an expression on the rows themselves.
     """
-    scored = materialize(scored, "scored")
+    slim = materialize(scored.select(key, "churn_prob", "churn_risk"), "scores")
+    return _banded(scored, slim, scored_rows, key)
+
+
+def _banded(scored: DataFrame, slim: DataFrame, scored_rows: int | None, key: str) -> DataFrame:
+    """`scored` with its band; `slim` holds key and scores of the same rows, written."""
     share = ratio("churn_prob", "churn_risk")
-    rows = scored.count() if scored_rows is None else scored_rows
-    ranked = band_by_rank(scored.where(share > INTRINSIC_CUT), "churn_risk", key, rows, "Total churn risk")
-    rest = scored.where(share <= INTRINSIC_CUT).withColumn("Total churn risk", F.lit(BAND_UNAVAILABLE))
-    return ranked.unionByName(rest)
+    rows = slim.count() if scored_rows is None else scored_rows
+    label = band_label(slim.where(share > INTRINSIC_CUT), "churn_risk", key, rows)
+    band = F.when(share > INTRINSIC_CUT, label).otherwise(F.lit(BAND_UNAVAILABLE))
+    return scored.where(share.isNotNull()).withColumn("Total churn risk", band)
 
 
 def feature_classes(features: Sequence[str], classes: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -133,7 +138,8 @@ def top_products(invoices: DataFrame, customers: DataFrame | None, since) -> Dat
         top_by("product_no", "profit").alias("top_product"), F.max("profit").alias("top_profit")
     ).where(F.col("top_profit").isNotNull())
     horizontals = sums.groupBy("product_family").agg(F.max("horizontal").alias("Horizontal"))
-    return top.join(horizontals, "product_family", "left").select(
+    # A family may hold a third of the rows: its horizontal is shuffled anew, so that Spark can split the join.
+    return top.join(splittable(horizontals, ["product_family"]), "product_family", "left").select(
         F.col("customer_bill_to_id").cast("string").alias("Customer"),
         F.col("product_family").alias("Product"),
         "Horizontal",
@@ -278,12 +284,11 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
     lob = lob.upper()
     # Read by the keys, the customer totals and the last date, so written once.
     value = materialize(value_at_risk(inputs.invoices, inputs.score_keys), "value")
-    base = (
-        inputs.scores.select("key", "churn_prob", *split_once("key", "Customer", "Product"))
-        .join(value, "key", "left")
-        .join(inputs.drivers, "key", "left")
-        .withColumn("LOB", F.lit(lob))
-    )
+    base = inputs.scores.select("key", "churn_prob", *split_once("key", "Customer", "Product")).join(value, "key", "left")
+    base = with_order_risk(base, value.agg(F.max("last_trx_date")))
+    # The cuts are found on keys and scores before the wide joins.
+    slim = materialize(base.select("key", "churn_prob", "churn_risk"), "scores")
+    base = _banded(base, slim, None, "key").join(inputs.drivers, "key", "left").withColumn("LOB", F.lit(lob))
     base = attach(base, customer_table(inputs, value, lob), ["Customer"], check=False, hot=True)
 
     history = inputs.invoices if inputs.history is None else inputs.history
@@ -304,9 +309,7 @@ def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, or
         F.col("product_key").cast("string").alias("Top Product"), F.col("product_name").alias("Top Product Name")
     ).distinct()
     base = attach(base, names, ["Top Product"], hot=True)
-    base = with_order_risk(base, value.agg(F.max("last_trx_date")))
-
-    return with_risk_bands(base).select(
+    return base.select(
         "key", F.lit(SCORECARD_SOURCE).alias("AI_Source"), "LOB", "Region", "District", "General Manager",
         "Sales Manager", "Seller", "Customer", "Customer Name", "`Product Family Code`", "Horizontal",
         F.col("Product").alias("Product Family"), "Top Product", "Top Product Name", "Total churn risk",

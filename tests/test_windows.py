@@ -53,6 +53,32 @@ def test_bands_prune_low_scores_in_a_large_table(spark):
     assert dict(rows(got)) == {"Very High": 5040, "High": 10080, "Medium": 15120, "Low": 20161, "Very Low": 1149599}
 
 
+def test_bands_without_a_sort(spark, monkeypatch):
+    """Cuts inside one score that many keys share are found by the keys' bytes, whatever their kind."""
+    monkeypatch.setattr(windows, "_FEW", 3)
+    names = sorted({f"{'é' * (i % 3)}key-{i * 7919 % 5000:x}-{i % 11}" for i in range(3000)}) + [""]
+    scores = [(k, 0.5 if i % 4 else float(-i)) for i, k in enumerate(names)]
+    df = spark.createDataFrame(scores, "key string, score double")
+    want = sorted(scores, key=lambda r: (-r[1], r[0].encode()))
+    places = [0, 1, 77, 1500, 2100, len(scores) - 1, len(scores)]
+    found, n = windows._rows_at(df, "score", "key", places)
+    assert n == len(scores) and {p: (r["key"], r["score"]) for p, r in found.items()} == {p: want[p] for p in places[:-1]}
+    numbers = [(i * 7919 % 3001 - 1500, 1.0) for i in range(3001)] + [(1 << 40, 1.0), (-(1 << 62), 1.0)]
+    df = spark.createDataFrame(numbers, "key long, score double")
+    found, _ = windows._rows_at(df, "score", "key", places[:5])
+    assert {p: r["key"] for p, r in found.items()} == {p: sorted(k for k, _ in numbers)[p] for p in places[:5]}
+    same = spark.range(5000).selectExpr("'k' as key", "1.0d as score")
+    assert windows._rows_at(same, "score", "key", [4000])[0][4000]["key"] == "k"
+
+
+def test_bands_shuffle_no_scores(spark, capsys):
+    df = spark.range(50_000).selectExpr("cast(id as string) as key", "id % 97 / 97.0d as score")
+    label = windows.band_label(df, "score", "key", 50_000)
+    df.withColumn("band", label).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
 def test_rank_by_is_a_dense_numbering(spark):
     df = spark.range(5000).select((F.col("id") * 37 % 50).alias("v"), F.col("id").alias("key"))
     got = rows(windows.rank_by(df, [F.col("v").desc(), F.col("key").asc()], "pos"), "pos", "v", "key")
