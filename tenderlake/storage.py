@@ -52,6 +52,49 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str):
+    """The file system of a path, which may be any that Spark knows, and the path there."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def completed(spark: SparkSession, path: str) -> bool:
+    """Whether a job has written the folder to its end."""
+    files, marker = _file(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None if there is none."""
+    files, there = _file(spark, path)
+    if not files.exists(there):
+        return None
+    stream = files.open(there)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file in one step: written under another name, then renamed."""
+    files, there = _file(spark, path)
+    _, beside = _file(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = files.create(beside, True)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(there.toUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(files.makeQualified(beside), files.makeQualified(there), options)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, there = _file(spark, path)
+    files.delete(there, True)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Give tree training a checkpoint folder, or its lineage grows with every boosting round."""
     if not spark.sparkContext.getCheckpointDir():

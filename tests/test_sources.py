@@ -54,6 +54,30 @@ def test_replace_snapshot_and_publish(spark, tmp_path):
     assert tables.read_csv(spark, where, sep="|").count() == 3
 
 
+def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
+    name = str(tmp_path / "t")
+    tables.replace_table(spark.range(3), name)
+    reader = tables.read_table(spark, name)
+    broken = spark.range(8).repartition(4).selectExpr("if(id = 7, raise_error('lost'), id) as id")
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_table(broken, name)
+    assert tables.read_table(spark, name).count() == 3
+    tables.replace_table(spark.range(5), name)
+    # Who began before the switch still reads what was there.
+    assert reader.count() == 3 and tables.read_table(spark, name).count() == 5
+    tables.replace_table(spark.range(6), name)
+    assert tables.read_table(spark, name).count() == 6
+    kept = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith(tables.VERSION)]
+    assert len(kept) == 3  # the last two, and the unfinished one, which nothing points to
+
+
+def test_plain_folders_are_tables_too(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "t"))
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 4
+    tables.replace_table(spark.range(2), str(tmp_path / "t"))
+    assert tables.read_table(spark, str(tmp_path / "t")).count() == 2
+
+
 def test_partitioned_table_has_few_files(spark, tmp_path):
     df = spark.range(1000).repartition(8).selectExpr("id", "cast(id % 2 + 2018 as int) as fiscal")
     tables.replace_table(df, str(tmp_path / "t"), ["fiscal"])
