@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions.columns import ratio
-from tenderlake.storage import materialize, new_path
+from tenderlake.storage import completed, materialize, new_path
 
 BROADCAST_NODES = 2_000_000
 
@@ -157,10 +157,8 @@ def path_table(nodes: DataFrame, names: Sequence[str], weights: Sequence[float],
     weighted = spark.createDataFrame(list(enumerate(weights)), "tree_id int, weight double")
     paths = steps.join(F.broadcast(named), "feature_index").join(F.broadcast(weighted), "tree_id")
     # Several splits on one feature within a path add up to one step.
-    return materialize(
-        paths.groupBy("tree_id", "leaf", "feature").agg(F.sum(F.col("change") * F.col("weight")).alias("change")),
-        "paths",
-    )
+    keys = ["tree_id", "leaf", "feature_index", "feature"]
+    return materialize(paths.groupBy(*keys).agg(F.sum(F.col("change") * F.col("weight")).alias("change")), "paths")
 
 
 def root_value(nodes: DataFrame, weights: Sequence[float]) -> float:
@@ -169,21 +167,46 @@ def root_value(nodes: DataFrame, weights: Sequence[float]) -> float:
     return sum(weights[r["tree_id"]] * r["value"] for r in roots)
 
 
-def contributions(
-    scored: DataFrame, paths: DataFrame, trees: int, path_rows: int, key: str = "key", most_rows: int = BROADCAST_NODES
+def path_values(nodes: DataFrame, paths: DataFrame, features: int) -> DataFrame:
+    """One row: for every tree and leaf, in order, the change that each feature brings on the way there."""
+    steps = paths.groupBy("tree_id", "leaf").agg(
+        F.map_from_entries(F.collect_list(F.struct("feature_index", "change"))).alias("steps")
+    )
+    # A tree of one node has a leaf without steps.
+    leaves = leaf_table(nodes).select("tree_id", "leaf").join(steps, ["tree_id", "leaf"], "left")
+    numbers = F.sequence(F.lit(0), F.lit(features - 1))
+    changes = F.transform(numbers, lambda i: F.coalesce(F.element_at("steps", i), F.lit(0.0)))
+    per_tree = leaves.groupBy("tree_id").agg(F.sort_array(F.collect_list(F.struct("leaf", changes.alias("changes")))).alias("leaves"))
+    trees = per_tree.agg(F.sort_array(F.collect_list(F.struct("tree_id", F.transform("leaves", lambda x: x["changes"]).alias("leaves")))).alias("trees"))
+    return trees.select(F.transform("trees", lambda x: x["leaves"]).alias("values"))
+
+
+def with_contributions(
+    scored: DataFrame, nodes: DataFrame, paths: DataFrame, features: int, trees: int, most_leaves: int,
+    name: str = "contributions", most_values: int = BROADCAST_NODES,
 ) -> DataFrame:
-    """Contribution of each feature to each row's value: (key, feature, contribution).
+    """Add the array of every feature's contribution, summed over the trees within the row.
 
-    A row's steps are summed per feature within its own task before the shuffle. Paths are broadcast
-    in ranges of trees, each of at most `most_rows` rows by the known bound `path_rows` of all trees.
+    What a leaf brings is a constant sent to every task, for as many trees at once as hold
+    `most_values` values (at least one), as prices are; no row is multiplied or shuffled.
     """
-    leaves = scored.select(key, F.posexplode(vector_to_array("leaf").cast("array<int>")).alias("tree_id", "leaf"))
-    met = None
-    for first, end in _tree_ranges(trees, most_rows * trees // max(path_rows, 1)):
+    leaves = vector_to_array("leaf").cast("array<int>")
+    total, columns = F.array_repeat(F.lit(0.0), features), []
+    for first, end in _tree_ranges(trees, most_values // max(most_leaves * features, 1)):
         within = F.col("tree_id").between(first, end - 1)
-        part = leaves.where(within).join(F.broadcast(paths.where(within)), ["tree_id", "leaf"]).select(key, "feature", "change")
-        met = part if met is None else met.unionByName(part)
-    return met.groupBy(key, "feature").agg(F.sum("change").alias("contribution"))
+        values = path_values(nodes.where(within), paths.where(within), features).scalar()
+        columns.append(f"_changes_{first}")
+        scored = scored.withColumn(columns[-1], values)
+        own = F.zip_with(F.slice(leaves, F.lit(first + 1), F.lit(end - first)), columns[-1], lambda leaf, tree: F.get(tree, leaf))
+        total = F.aggregate(own, total, lambda sums, x: F.zip_with(sums, x, lambda a, b: a + b))
+    return scored.withColumn(name, total).drop(*columns)
+
+
+def contribution_rows(explained: DataFrame, names: Sequence[str], key: str = "key") -> DataFrame:
+    """(key, feature, contribution) for every feature that moves the row's value."""
+    features = F.array(*[F.lit(n) for n in names])
+    pairs = F.filter(F.arrays_zip(features.alias("feature"), F.col("contributions").alias("contribution")), lambda x: x["contribution"] != 0)
+    return explained.select(key, F.inline(pairs).alias("feature", "contribution"))
 
 
 def explain_model(scored: DataFrame, model, names: Sequence[str]) -> DataFrame:
@@ -195,4 +218,23 @@ def explain_model(scored: DataFrame, model, names: Sequence[str]) -> DataFrame:
     weights = tree_weights(model)
     nodes = node_table(model, scored.sparkSession)
     paths = path_table(nodes, names, weights, depth)
-    return contributions(scored, paths, len(weights), len(weights) * 2**depth * depth)
+    explained = with_contributions(scored, nodes, paths, len(names), len(weights), 2**depth)
+    return contribution_rows(explained, names)
+
+
+def price_in_ranges(model, table: DataFrame, folder: str, ranges: int = 16, key: str = "key") -> DataFrame:
+    """Price recommendations of the whole `table`, written in ranges of key hashes under `folder`.
+
+    `model` is a fitted pipeline that ends with a forest. A range that was written before is not
+    computed again, so a run that was lost goes on where it stopped; the folder belongs to one model and
+    one table. Rows are scored where they are read: no range shuffles.
+    """
+    spark = table.sparkSession
+    nodes = node_table(model.stages[-1], spark)
+    part = F.pmod(F.xxhash64(key), F.lit(ranges))
+    paths = [f"{folder}/range-{i:05d}" for i in range(ranges)]
+    for i, path in enumerate(paths):
+        if not completed(spark, path):
+            priced = price_recommendation(model.transform(table.where(part == i)), nodes)
+            priced.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(*paths)

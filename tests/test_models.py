@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -102,6 +103,35 @@ def test_boosted_classifier_contributions_add_up_to_the_margin(spark, sf_dir):
     assert worst[0] < 1e-9 and worst[1] < 1e-9
 
 
+def test_contributions_are_summed_in_the_row(spark, sf_dir, capsys):
+    _, model, scored = q.boosted(spark, sf_dir)
+    nodes, weights = trees.node_table(model, spark), trees.tree_weights(model)
+    names = modeling.vector_names(scored)
+    paths = trees.path_table(nodes, names, weights, model.getMaxDepth())
+    options = (nodes, paths, len(names), len(weights), 2 ** model.getMaxDepth())
+    whole = trees.with_contributions(scored.select("key", "leaf"), *options)
+    whole.select("key", "contributions").explain("formatted")
+    # The constants are shuffled by tree; no exchange or explosion is on the rows' own way.
+    plan = capsys.readouterr().out.split("===== Subqueries =====")[0]
+    assert "Exchange" not in plan and "Generate" not in plan
+    ranges = trees.with_contributions(scored.select("key", "leaf"), *options, most_values=1)
+    for a, b in zip(*[sorted(map(tuple, x.select("key", "contributions").collect())) for x in (whole, ranges)]):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1])
+
+
+def test_pricing_goes_on_where_it_stopped(spark, sf_dir, tmp_path):
+    table = q.model_table(spark, sf_dir)
+    model = Pipeline(stages=[modeling.preparation(table), modeling.random_forest(3, 3)]).fit(table)
+    folder = str(tmp_path / "prices")
+    first = trees.price_in_ranges(model, table, folder, 4)
+    assert first.select("key").exceptAll(table.select("key")).count() == 0 and first.count() == table.count()
+    kept = (tmp_path / "prices" / "range-00002").stat().st_mtime_ns
+    (tmp_path / "prices" / "range-00001" / "_SUCCESS").unlink()
+    again = trees.price_in_ranges(model, table, folder, 4)
+    assert (tmp_path / "prices" / "range-00002").stat().st_mtime_ns == kept
+    assert (tmp_path / "prices" / "range-00001" / "_SUCCESS").exists() and again.count() == table.count()
+
+
 def test_backtest_has_every_fold(spark, sf_dir):
     table = q.model_table(spark, sf_dir)
     predictions, importance = modeling.backtest(table, q.START, 2, lambda: modeling.boosted_trees(2), 2)

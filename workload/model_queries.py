@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from tenderlake.operators.reshape import align_columns
 from tenderlake.plans import modeling, scorecard, trees
+from tenderlake.storage import new_path
 from workload import bid_queries
-from workload.bid_queries import AWARDED, COSTS, DESTINATION, KEY_ROWS, training_features
+from workload.bid_queries import AWARDED, COSTS, DESTINATION, KEY_ROWS, scoring_features, training_features
 from workload.sqltext import KEYS_CTE, over_bids, over_invoices
 from workload.views import RUN_YEAR, invoices, scorecard_keys, written
 
 START, MONTHS = date(2000, 4, 1), 8
 TEST = (date(2000, 4, 1), date(2000, 5, 1))
 TREES, DEPTH, ROUNDS = 20, 5, 10
+# The forest that prices the run year.
+RUN_TREES, RUN_DEPTH = 100, 10
 CHURN_CLASSES = [
     ("Order pattern", "gap"), ("Volume", "quantity"), ("Volume", "lines"), ("Margin", "profit"),
     ("Price", "price"), ("Segment", "segment"),
@@ -167,6 +172,80 @@ def churn_drivers(s, d):
     return scorecard.top_drivers(trees.explain_model(scored, model, names), pairs, 3)
 
 
+def run_year_prices(s, d):
+    """Every key of the run year, priced by a forest that was fitted on all keys before it."""
+
+    def build():
+        table = model_table(s, d)
+        model = Pipeline(stages=[modeling.preparation(table), modeling.random_forest(RUN_TREES, RUN_DEPTH)]).fit(table)
+        keys = modeling.clean_model_table(align_columns(scoring_features(s, d), table.drop("date", "target")))
+        return trees.price_in_ranges(model, written(s, d, "run-year-features", lambda: keys), new_path(s, "run-year"), 4)
+
+    slot = (s.sparkContext.applicationId, d, "run-year")
+    if slot not in _FITTED:
+        _FITTED[slot] = build()
+    return _FITTED[slot]
+
+
+def price_checks(prices):
+    """Keys, and those whose prices are missing, out of order, or not above their margins by one cost."""
+    cost = F.col("Predicted_price") - F.col("estimated_margin")
+    apart = (F.abs(F.col("error_down_95") - F.col("margin_lower") - cost) > 1e-6) | (F.abs(F.col("error_up_95") - F.col("margin_upper") - cost) > 1e-6)
+    return prices.agg(
+        F.count("*").alias("rows"), F.count_distinct("key").alias("keys"),
+        F.count_if(F.col("Predicted_price").isNull() | F.col("estimated_margin").isNull()).alias("missing"),
+        F.count_if(F.col("error_down_95") > F.col("error_up_95")).alias("out_of_order"), F.count_if(apart).alias("apart"),
+    )
+
+
+def tree_checks(s, d):
+    """Keys and trees of the test month, and keys whose price is not the mean of their trees."""
+    means = forest_trees(s, d).groupBy("key").agg(F.count("*").alias("n"), F.avg("price").alias("mean"))
+    met = forest(s, d)[2].select("key", "Predicted_price").join(means, "key", "left")
+    return met.agg(
+        F.count("*").alias("keys"), F.min("n").alias("least_trees"), F.max("n").alias("most_trees"),
+        F.count_if(~(F.abs(F.col("mean") - F.col("Predicted_price")) < 1e-6)).alias("apart"),
+    )
+
+
+def contribution_checks(s, d):
+    """Keys of the test month, and keys whose contributions do not add up to the boosted price."""
+    _, model, scored = boosted(s, d)
+    root = trees.root_value(trees.node_table(model, s), trees.tree_weights(model))
+    parts = trees.explain_model(scored, model, modeling.vector_names(scored))
+    added = parts.groupBy("key").agg(F.sum("contribution").alias("added"))
+    gap = F.abs(F.coalesce("added", F.lit(0.0)) + F.lit(root) - F.col("Predicted_price"))
+    return scored.join(added, "key", "left").agg(F.count("*").alias("keys"), F.count_if(~(gap < 1e-6)).alias("apart"))
+
+
+def backtest_checks(s, d):
+    """Predictions of every fold, and those without a price or outside their month."""
+    found = run_backtest(s, d)[0]
+    outside = (F.col("date") < F.col("fold")) | (F.col("date") >= F.add_months("fold", 1))
+    return found.groupBy("fold").agg(
+        F.count("*").alias("test_rows"), F.count_if(F.col("Predicted_price").isNull() | outside).alias("wrong")
+    )
+
+
+def metric_checks(s, d):
+    """For each model of the test month: rows, and whether its errors agree with each other."""
+    found = None
+    for name, build in (("boosted", boosted), ("forest", forest), ("linear", linear)):
+        errors = modeling.metrics(build(s, d)[2]).withColumn("model", F.lit(name))
+        errors = errors.withColumn("agree", (F.abs(F.col("accuracy") + F.col("mape") - 100) < 1e-6) & (F.col("mae") * F.col("mae") <= F.col("mse") + 1e-6))
+        found = errors if found is None else found.unionByName(errors)
+    return found.select("model", "agree")
+
+
+def importance_checks(s, d):
+    """Shares below zero or above one; shares to two decimals add up to one within their rounding."""
+    shares = importance(s, d)
+    return shares.agg(
+        F.count_if((F.col("importance") < 0) | (F.col("importance") > 1)).alias("out_of_range"),
+        (F.abs(F.sum("importance") - 1) <= 0.005 * F.count("*")).alias("adds_up"),
+    )
+
+
 MODEL_ROWS = f"""
 model_rows as (select k.key, k.date, k.target, d.avg_awardprice_destination_prevyear, c.equipment_cost_ty,
     k.fiscal as fiscal_year
@@ -175,6 +254,7 @@ model_rows as (select k.key, k.date, k.target, d.avg_awardprice_destination_prev
 """
 MODEL_PARTS = [AWARDED, KEY_ROWS, DESTINATION, COSTS, MODEL_ROWS]
 FOLDS = ", ".join(f"(date '{a}', date '{b}')" for a, b in modeling.months_from(START, MONTHS))
+IN_TEST = f"date >= date '{TEST[0]}' and date < date '{TEST[1]}'"
 METRICS = ["mae", "mse", "mape", "accuracy"]
 
 QUERIES = {
@@ -212,6 +292,26 @@ QUERIES = {
     "boosted_contributions": (
         lambda s, d: trees.explain_model(
             boosted(s, d)[2], boosted(s, d)[1], modeling.vector_names(boosted(s, d)[2])), None, []),
+    "run_year_prices": (run_year_prices, None, []),
+    "run_year_price_checks": (
+        lambda s, d: price_checks(run_year_prices(s, d)),
+        over_bids(AWARDED, KEY_ROWS, f"""select count(*) as rows, count(distinct key) as keys, cast(0 as bigint) as missing,
+          cast(0 as bigint) as out_of_order, cast(0 as bigint) as apart from key_table where year(date) = {RUN_YEAR}"""), []),
+    "price_recommendation_checks": (
+        lambda s, d: price_checks(trees.price_recommendation(forest(s, d)[2], trees.node_table(forest(s, d)[1], s))),
+        over_bids(*MODEL_PARTS, f"""select count(*) as rows, count(distinct key) as keys, cast(0 as bigint) as missing,
+          cast(0 as bigint) as out_of_order, cast(0 as bigint) as apart from model_rows where {IN_TEST}"""), []),
+    "tree_prediction_checks": (tree_checks, over_bids(*MODEL_PARTS, f"""
+        select count(*) as keys, cast({TREES} as bigint) as least_trees, cast({TREES} as bigint) as most_trees,
+          cast(0 as bigint) as apart from model_rows where {IN_TEST}"""), []),
+    "boosted_contribution_checks": (contribution_checks, over_bids(*MODEL_PARTS, f"""
+        select count(*) as keys, cast(0 as bigint) as apart from model_rows where {IN_TEST}"""), []),
+    "backtest_checks": (backtest_checks, over_bids(*MODEL_PARTS, f"""
+        select f.fold, count(*) as test_rows, cast(0 as bigint) as wrong
+        from model_rows m join (values {FOLDS}) f(fold, after) on m.date >= f.fold and m.date < f.after group by f.fold"""), []),
+    "model_metric_checks": (
+        metric_checks, "select * from (values ('boosted', true), ('forest', true), ('linear', true)) t(model, agree)", []),
+    "importance_checks": (importance_checks, "select cast(0 as bigint) as out_of_range, true as adds_up", []),
     "churn_labels": (
         lambda s, d: churn_table(s, d).groupBy("target").agg(F.count("*").alias("keys")),
         over_invoices(KEYS_CTE, """select case when (select max(billing_date) from invoices) - last_trx_date > 365
