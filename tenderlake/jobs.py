@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.operators.reshape import align_columns, lookup
-from tenderlake.plans import bids, dashboard, features, modeling, reference_table, scorecard, trees
+from tenderlake.plans import bids, churn, dashboard, features, modeling, reference_table, scorecard, trees
 from tenderlake.sources import ingest, tables
 from tenderlake.storage import tuned
 
@@ -116,6 +116,14 @@ def build_dashboard(run: Run) -> None:
     """Reference table and the tables behind the dashboard."""
     cleaned = run.read("intermediate_data", "all_bid_table_intrmdt")
     reference = run.write(reference_table.bid_reference_table(cleaned), "dashboard", "key_details")
+    linked = reference_table.reference_tables(cleaned)
+    # All offers and awards behind the details, as tables of their own.
+    linked = reference_table.ReferenceTables(
+        run.write(linked.details, "dashboard", "bid_details"),
+        run.write(linked.house, "dashboard", "house_offers"),
+        run.write(linked.awards, "dashboard", "last_year_awards"),
+    )
+    run.write(linked.links, "dashboard", "reference_links")
     clusters = run.read("static_input", "static_cluster_mapping", False)
     year = run.reference_year
     clustering = clusters.where(F.col("key").startswith(f"{year}_")).withColumnRenamed("cluster", "Cluster")
@@ -166,6 +174,31 @@ def build_scorecard(
     return written
 
 
+def train_churn(run: Run, trees_count: int = 500, depth: int = 5, boosted: bool = False) -> None:
+    """Snapshot of a year before the last invoice, a model fitted on some customers and judged on the others."""
+    invoices = run.read("raw_data", "invoice_table", False)
+    as_of = churn.training_date(invoices.agg(F.max("billing_date")).first()[0])
+    table = run.write(churn.snapshot(invoices, as_of, churn.YEAR), "processed_data", "churn_training")
+    bundle = churn.fit(table, run.run_date, as_of, trees_count, depth, boosted)
+    churn.save(bundle, run.spark, run.name("models", "churn_bundle"))
+    unseen = table.where(churn.customer_fold() == int(bundle.about["held_out"]))
+    judged = run.write(churn.apply(bundle, unseen).select("key", "target", "churn_prob"), "processed_data", "churn_held_out")
+    run.write(churn.quality(judged), "processed_data", "churn_quality")
+    run.write(churn.calibration(judged), "processed_data", "churn_calibration")
+
+
+def score_churn(run: Run, lob: str, order_start: str, order_end: str, stamp: str, prod_path: str, dev_path: str, to_prod: bool = False) -> dict[str, str]:
+    """Scores and drivers of today's snapshot by the kept model, then the scorecard of a line of business."""
+    bundle = churn.load(run.spark, run.name("models", "churn_bundle"), run.run_date)
+    invoices = run.read("raw_data", "invoice_table", False)
+    today = run.write(churn.snapshot(invoices, invoices.agg(F.max("billing_date")).first()[0]), "scoring_data", "churn_snapshot")
+    run.write(churn.unknown_categories(bundle, today), "scoring_data", "churn_unknown_categories")
+    scored = churn.apply(bundle, today)
+    scores = run.write(scored.select("key", "churn_prob"), "scoring_data", "churn_scores")
+    top = run.write(churn.drivers(bundle, scored), "scoring_data", "churn_drivers")
+    return build_scorecard(run, scores, top, lob, order_start, order_end, stamp, prod_path, dev_path, to_prod)
+
+
 STEPS: dict[str, Callable] = {
     "import": import_bids,
     "features": build_features,
@@ -173,6 +206,10 @@ STEPS: dict[str, Callable] = {
         run, date.fromisoformat(start), int(months), **{k: int(v) for k, v in sizes.items()}
     ),
     "score": score_prices,
+    "churn": lambda run, boosted="no", **sizes: train_churn(
+        run, boosted=boosted == "yes", **{k: int(v) for k, v in sizes.items()}
+    ),
+    "scorecard": lambda run, to_prod="no", **options: score_churn(run, to_prod=to_prod == "yes", **options),
     "dashboard": build_dashboard,
     "export": export_columns,
 }

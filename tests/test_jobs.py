@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderlake import jobs
+from tenderlake.plans import churn
 from tenderlake.sources import tables
 from workload import scorecard_queries as scq
 from workload import views
@@ -90,3 +91,45 @@ def test_scorecard_outputs(run, spark, sf_dir):
         got = tables.read_csv(spark, written[kind], sep=sep)
         assert got.count() == rows and got.columns[0] == "AI_Source"
     assert written["dashboard"].endswith("/dev/ai.2001-01-15-00.00.00.bid_scored_sheet_2001_01_15.csv")
+
+
+def test_churn_and_scorecard_steps(run, spark, sf_dir):
+    """After `test_scorecard_outputs`, whose input tables these steps read."""
+    day = run.run_date.isoformat()
+    jobs.main("churn", run.base, day, "trees_count=8", "depth=3")
+    held_out, training = run.read("processed_data", "churn_held_out"), run.read("processed_data", "churn_training")
+    assert 0 < held_out.count() < training.count()
+    # The customers that judge the model are not among those it was fitted on.
+    seen = training.where(churn.customer_fold() != 0).select(F.split("key", "_")[0].alias("c"))
+    assert held_out.select(F.split("key", "_")[0].alias("c")).join(seen, "c").count() == 0
+    quality = run.read("processed_data", "churn_quality").first()
+    assert quality["rows"] == held_out.count() and 0 <= quality["area_under_curve"] <= 1 and quality["log_loss"] > 0
+    assert run.read("processed_data", "churn_calibration").agg(F.sum("rows")).first()[0] == quality["rows"]
+    bundle = churn.load(spark, run.name("models", "churn_bundle"), run.run_date)
+    assert [c for c, _ in bundle.columns][0] == "days_since" and {c for c, _, _ in bundle.categories} == {"segment"}
+    with pytest.raises(ValueError, match="after the run"):
+        churn.load(spark, run.name("models", "churn_bundle"), date(2000, 12, 31))
+    with pytest.raises(ValueError, match="gap_mean is missing; lines is string, not double"):
+        churn.matching(bundle, training.drop("gap_mean").withColumn("lines", F.lit("x")))
+
+    jobs.main(
+        "scorecard", run.base, day, "lob=lcd", f"order_start={views.SCORING_DATES[0]}", f"order_end={views.SCORING_DATES[1]}",
+        "stamp=2001-01-15-00.00.00", f"prod_path={run.base}/prod", f"dev_path={run.base}/dev", "to_prod=yes",
+    )
+    scores = run.read("scoring_data", "churn_scores")
+    assert scores.count() == run.read("scoring_data", "churn_snapshot").count() == scores.select("key").distinct().count() > 0
+    assert scores.where("churn_prob is null or churn_prob < 0 or churn_prob > 1").count() == 0
+    assert run.read("scoring_data", "churn_drivers").count() == scores.count()
+    name = "ai.2001-01-15-00.00.00.bid_scored_sheet_2001_01_15.csv"
+    published = tables.read_csv(spark, f"{run.base}/prod/{name}", sep="|")
+    assert published.count() == run.read("processed_data", "scorecard").count() > 0
+
+
+def test_values_the_model_has_not_seen(run, spark):
+    bundle = churn.load(spark, run.name("models", "churn_bundle"))
+    table = run.read("scoring_data", "churn_snapshot")
+    assert churn.unknown_categories(bundle, table).count() == 0
+    odd = table.withColumn("segment", F.when(F.col("days_since") > 0, "NEW").otherwise(F.lit(None).cast("string")))
+    found = churn.unknown_categories(bundle, odd).collect()
+    assert [(r["column"], r["value"], r["rows"]) for r in found] == [("segment", "NEW", odd.where("segment is not null").count())]
+    assert churn.apply(bundle, odd).where("churn_prob is null").count() == 0

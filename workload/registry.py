@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workload import bid_queries, dashboard_queries, model_queries, operator_queries, scorecard_queries
+from workload import bid_queries, churn_queries, dashboard_queries, model_queries, operator_queries, scorecard_queries
 
 DIGITS = 6
 # Moves exact ties (many prices end in 5 at the seventh digit) off the rounding edge, where the
@@ -19,6 +19,7 @@ _ALL = {
     **scorecard_queries.QUERIES,
     **operator_queries.QUERIES,
     **model_queries.QUERIES,
+    **churn_queries.QUERIES,
 }
 
 
