@@ -40,3 +40,8 @@ def words(text: bytes) -> list[bytes]:
 def column(name: str) -> str:
     """A name quoted for use in expressions."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def orderable(rows: DataFrame) -> list[str]:
+    """Columns whose values Spark can sort; maps and variants it cannot."""
+    return [n for n, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
