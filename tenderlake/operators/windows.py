@@ -39,6 +39,18 @@ def forward_fill(column: str, keys: Sequence[str], order: str, default=0.0) -> C
     return F.coalesce(F.last(column, ignorenulls=True).over(frame), F.lit(default))
 
 
+def as_of(events: DataFrame, questions: DataFrame, keys: Sequence[str], order: str, value: str, default=0.0) -> DataFrame:
+    """The last known value of `events` at every event and every question, `default` before the first.
+
+    Both have at most one row per key and `order` value; they are stacked and read once in order, so the
+    rows follow what is known and asked, however far apart the days are. A null event keeps what was known.
+    """
+    columns = [*keys, order]
+    asked = questions.select(*columns, F.lit(None).cast(events.schema[value].dataType).alias(value))
+    rows = events.select(*columns, value).unionByName(asked).groupBy(*columns).agg(F.max(value).alias(value))
+    return rows.withColumn(value, forward_fill(value, keys, order, default))
+
+
 def capacity_share(daily: DataFrame, keys: Sequence[str], date: str, quantity: str, factor: float) -> DataFrame:
     """Cumulative share of each group's total quantity by date; one row per group and day."""
     whole = Window.partitionBy(*keys)

@@ -15,7 +15,7 @@ from tenderlake.fixed_values import CAPACITY_FACTOR, FILL_RATE_CALENDAR, HOUSE_I
 from tenderlake.functions.aggregates import first_non_null, first_per_key, single_valued
 from tenderlake.functions.columns import bid_key, differs_from, ratio, starts_with_word
 from tenderlake.operators.joins import attach, previous_year, splittable, with_calendar
-from tenderlake.operators.windows import capacity_share, forward_fill
+from tenderlake.operators.windows import as_of, capacity_share, forward_fill
 
 TYPE_COLUMNS = ["sales_region_name", "product_name", "bid_type_name", "customer_type_name"]
 COST_COLUMNS = [
@@ -242,16 +242,27 @@ def daily_fill_rate(
 def fill_rate(bids: DataFrame, calendar: tuple[str, str] | None = None) -> DataFrame:
     """The house's fill rate on the due date of a won bid; first due date that has one.
 
-    Won offers always find their own competitor and day, so only the house's days are looked up.
+    Won offers always find their own competitor and day, so only the house's rates are looked up: as of the
+    days that are asked for, without a row for every day of the calendar. A given calendar limits the days
+    that are asked for; days on which the house won count in any case.
     """
-    house = daily_fill_rate(bids, calendar, HOUSE_ID)
-    house = house.select("fiscal", "bid_due_date", F.col("fill_rate").alias("fill_rate_CMP"))
+    offers = _due_offers(bids)
+    house = offers.where(F.col("price_competitor_id") == HOUSE_ID)
+    rates = capacity_share(
+        won_quantity(bids.where(F.col("price_competitor_id") == HOUSE_ID)), ["fiscal", "price_competitor_id"],
+        "bid_due_date", "total_qty_ty", CAPACITY_FACTOR,
+    ).select("fiscal", "bid_due_date", "fill_rate")
     won = (
-        _due_offers(bids).where(F.col("price_competitor_id") == F.col("award_competitor_id"))
+        offers.where(F.col("price_competitor_id") == F.col("award_competitor_id"))
         .select("key", "fiscal", "bid_due_date").distinct()
     )
-    # One row per fiscal year and day: bounded by the calendar, AQE broadcasts it once measured.
-    rated = won.join(house, ["fiscal", "bid_due_date"]).select("key", "bid_due_date", "fill_rate_CMP")
+    asked = won.select("fiscal", "bid_due_date").dropna().distinct()
+    if calendar:
+        asked = asked.where(F.col("bid_due_date").between(*[F.lit(day).cast("date") for day in calendar]))
+    asked = asked.join(house.select("fiscal").dropna().distinct(), "fiscal", "left_semi")
+    known = as_of(rates, asked, ["fiscal"], "bid_due_date", "fill_rate").withColumnRenamed("fill_rate", "fill_rate_CMP")
+    # One row per fiscal year and day of an offer; AQE broadcasts it once measured.
+    rated = won.join(known, ["fiscal", "bid_due_date"]).select("key", "bid_due_date", "fill_rate_CMP")
     return first_per_key(rated, ["key"]).drop("bid_due_date")
 
 
