@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import column
+from tenderlake.llm.common import column, orderable
 from tenderlake.llm.components import components
 from tenderlake.llm.fingerprints import fingerprints
 from tenderlake.storage import materialize
@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = MOST_BITS) -> DataFrame:
     """`docs` with exactly one row of each near-duplicate group: that of the smallest key.
 
-    Of the group's rows with this key, the one whose columns sort first stays. Rows are found again by
+    Of the group's rows with this key, the one whose columns sort first stays (maps cannot be sorted and do not count). Rows are found again by
     key and text, so groups that share a key, or have none other than null, keep a row each.
     """
     text_id = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
@@ -166,4 +166,5 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", bi
     rows = docs.select(F.struct(*[F.col(column(c)) for c in docs.columns]).alias("row"))
     row_text = F.unhex(F.md5(F.coalesce(F.col("row")[text], F.lit(""))))
     kept = rows.join(keep, F.col("row")[key].eqNullSafe(F.col("kept")) & (row_text == F.col("kept_text")))
-    return kept.groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+    order = F.struct(*[F.col("row")[c] for c in orderable(docs)])
+    return kept.groupBy("root").agg(F.min_by("row", order).alias("row")).select("row.*")
