@@ -28,6 +28,12 @@ def test_missing_and_unseen_categories_are_zero(spark):
         [1.0, 0.0, 0.0], [5.0, 0.0, 0.0]]
 
 
+def test_no_test_rows_have_no_r_squared(spark):
+    scored = spark.createDataFrame([(1.0, 1.0), (3.0, 2.0)], f"target double, {modeling.PREDICTION} double")
+    assert modeling.r_squared(scored.limit(0)) is None
+    assert modeling.r_squared(scored) == pytest.approx(0.5)
+
+
 def test_infinite_values_are_filled(spark):
     raw = spark.createDataFrame([("a", float("inf")), ("b", 3.0)], "key string, n double")
     table = modeling.clean_model_table(raw).withColumn("target", F.lit(1.0))
