@@ -23,8 +23,8 @@ from tenderlake.fixed_values import (
 )
 from tenderlake.functions.aggregates import top_by, total
 from tenderlake.functions.columns import mentions, non_negative, ratio, split_once
-from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, splittable, within_last_year
-from tenderlake.operators.windows import band_label, top_names
+from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, unique_on, within_last_year
+from tenderlake.operators.windows import band_label, top_columns
 from tenderlake.storage import materialize
 
 
@@ -99,8 +99,8 @@ def feature_classes(features: Sequence[str], classes: Sequence[tuple[str, str]])
     return [(c, f) for c, variable in classes for f in features if variable.strip() in f]
 
 
-def class_contributions(contributions: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Positive contributions summed per key and driver class.
+def class_sums(contributions: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per key: its positive contributions summed in a column per driver class.
 
     `pairs` comes from the model's column list, so the mapping is as small as that list. Every
     key gets every class, with zero where nothing contributes.
@@ -114,13 +114,18 @@ def class_contributions(contributions: DataFrame, pairs: Sequence[tuple[str, str
         for name, features in by_class.items()
     ]
     wide = contributions.groupBy("key").agg(*sums)
-    long = wide.unpivot("key", list(by_class), "class", "contribution")
-    return long.withColumn("contribution", F.coalesce("contribution", F.lit(0.0)))
+    return wide.select("key", *[F.coalesce(f"`{c}`", F.lit(0.0)).alias(c) for c in by_class])
+
+
+def class_contributions(contributions: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """The sums of `class_sums` as rows of key, class and contribution."""
+    wide = class_sums(contributions, pairs)
+    return wide.unpivot("key", [c for c in wide.columns if c != "key"], "class", "contribution")
 
 
 def top_drivers(contributions: DataFrame, pairs: Sequence[tuple[str, str]], n: int = TOP_DRIVERS) -> DataFrame:
-    """The n driver classes with the largest share per key."""
-    return top_names(class_contributions(contributions, pairs), "key", "class", "contribution", n, "Top Driver ")
+    """The n driver classes with the largest share per key, ranked within the key's row."""
+    return top_columns(class_sums(contributions, pairs), "key", n, "Top Driver ")
 
 
 def top_products(invoices: DataFrame, customers: DataFrame | None, since) -> DataFrame:
@@ -137,9 +142,10 @@ def top_products(invoices: DataFrame, customers: DataFrame | None, since) -> Dat
     top = sums.groupBy("customer_bill_to_id", "product_family").agg(
         top_by("product_no", "profit").alias("top_product"), F.max("profit").alias("top_profit")
     ).where(F.col("top_profit").isNotNull())
-    horizontals = sums.groupBy("product_family").agg(F.max("horizontal").alias("Horizontal"))
-    # A family may hold a third of the rows: its horizontal is shuffled anew, so that Spark can split the join.
-    return top.join(splittable(horizontals, ["product_family"]), "product_family", "left").select(
+    rows = recent if customers is None else sums
+    horizontals = materialize(rows.groupBy("product_family").agg(F.max("horizontal").alias("Horizontal")), "horizontals")
+    # A row per family, written so that Spark knows how few they are; a family may hold a third of the rows.
+    return top.join(horizontals, "product_family", "left").select(
         F.col("customer_bill_to_id").cast("string").alias("Customer"),
         F.col("product_family").alias("Product"),
         "Horizontal",
@@ -195,10 +201,10 @@ def program_flags(program: DataFrame) -> DataFrame:
 
 def customer_industry(invoices: DataFrame) -> DataFrame:
     """Industry at the customer's last billing date, the smallest name on ties."""
-    daily = invoices.groupBy("customer_bill_to_id", "billing_date").agg(
-        F.min("uic_industry_group_name").alias("industry")
-    )
-    latest = daily.groupBy("customer_bill_to_id").agg(F.max(F.struct("billing_date", "industry")).alias("_last"))
+    day, industry = F.col("billing_date"), F.col("uic_industry_group_name")
+    # The smallest is of the last day; missing days and names come after all others.
+    first = F.struct(day.isNull(), -F.unix_date(day), industry.isNull(), industry.alias("industry"))
+    latest = invoices.groupBy("customer_bill_to_id").agg(F.min(first).alias("_last"))
     return latest.select(
         F.col("customer_bill_to_id").cast("string").alias("Customer"), F.col("_last.industry").alias("Industry")
     )
@@ -250,18 +256,13 @@ class ScorecardInputs:
 DRIVER_COLUMNS = [f"Top Driver {i}" for i in range(1, TOP_DRIVERS + 1)]
 
 
-def customer_table(inputs: ScorecardInputs, value: DataFrame, lob: str) -> DataFrame:
+def customer_table(inputs: ScorecardInputs, scored: DataFrame, lob: str) -> DataFrame:
     """One row per scored customer: total value, sales attributes, program flags, service record.
 
-    All parts are grouped by customer, so the joins here share one partitioning and the scored
+    `scored` holds the customer and value at risk of every scored key. All parts are grouped by customer, so the joins here share one partitioning and the scored
     rows meet a single customer-level table.
     """
-    scored = inputs.scores.select("key", *split_once("key", "Customer", "Product"))
-    totals = (
-        scored.join(value.select("key", "value_at_risk"), "key", "left")
-        .groupBy("Customer")
-        .agg(total("value_at_risk").alias("Annual customer iDGP at risk"))
-    )
+    totals = scored.groupBy("Customer").agg(total("value_at_risk").alias("Annual customer iDGP at risk"))
     attributes = customer_attributes(inputs.customer_map.where(F.col("lob") == lob)).select(
         F.col("bill_to_key").alias("Customer"), F.col("region").alias("Region"),
         F.col("district").alias("District"), F.col("general_manager").alias("General Manager"),
@@ -279,36 +280,53 @@ def customer_table(inputs: ScorecardInputs, value: DataFrame, lob: str) -> DataF
     return table.fillna(" ", list(PROGRAM_SUPPLIERS))
 
 
+def of_keys(rows: DataFrame) -> DataFrame:
+    """Rows of a customer and product as rows of their key; a customer with an underscore has no key."""
+    key = F.concat("Customer", F.lit("_"), "Product")
+    return rows.where(~F.contains("Customer", F.lit("_"))).withColumn("key", key).drop("Customer", "Product")
+
+
+def open_keys(orders: DataFrame, families: DataFrame) -> DataFrame:
+    """Keys of customers and families with an open order; codes are compared with dashes as underscores on both sides."""
+    code = F.replace("Product Family Code", F.lit("-"), F.lit("_"))
+    return of_keys(orders.join(families.select("Product", code.alias("family_code")), "family_code").drop("family_code"))
+
+
 def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, order_end) -> DataFrame:
     """One row per scored key with risk, value, product, sales and service details."""
     lob = lob.upper()
-    # Read by the keys, the customer totals and the last date, so written once.
-    value = materialize(value_at_risk(inputs.invoices, inputs.score_keys), "value")
-    base = inputs.scores.select("key", "churn_prob", *split_once("key", "Customer", "Product")).join(value, "key", "left")
-    base = with_order_risk(base, value.agg(F.max("last_trx_date")))
-    # The cuts are found on keys and scores before the wide joins.
-    slim = materialize(base.select("key", "churn_prob", "churn_risk"), "scores")
-    base = _banded(base, slim, None, "key").join(inputs.drivers, "key", "left").withColumn("LOB", F.lit(lob))
-    base = attach(base, customer_table(inputs, value, lob), ["Customer"], check=False, hot=True)
-
-    history = inputs.invoices if inputs.history is None else inputs.history
-    customers = None if inputs.history is None else inputs.invoices.select("customer_bill_to_id").distinct()
-    top = top_products(history, customers, products_since).drop("top_profit")
-    base = attach(base, top, ["Customer", "Product"], check=False)
-    base = base.withColumn("Top Product", F.coalesce("Top Product", F.lit("0")))
+    # Read by the keys and the last date, so written once.
+    value = materialize(value_at_risk(inputs.invoices, inputs.score_keys), "value", "zstd")
+    # Read by the cuts, the customer totals and the card. Columns that follow from others are added where they are read.
+    scored = materialize(inputs.scores.select("key", "churn_prob").join(value, "key", "left"), "scores", "zstd")
+    last = value.agg(F.max("last_trx_date"))
+    customer, product = split_once("key", "Customer", "Product")
+
+    # What belongs to a key is joined by the key: the rows are shuffled for it once, while they are few columns.
     families = inputs.products.select(
         F.col("product_family").alias("Product"), F.col("family_code").alias("Product Family Code")
     ).dropna().distinct()
-    base = attach(base, families, ["Product"], hot=True)
-
-    # Codes are compared with dashes as underscores on both sides.
-    orders = open_orders(inputs.orders, inputs.products, order_start, order_end)
-    base = base.withColumn("family_code", F.replace("Product Family Code", F.lit("-"), F.lit("_")))
-    base = membership(base, orders, ["Customer", "family_code"], "Open Order Flag", "Yes", "No").drop("family_code")
+    families = materialize(unique_on(families, ["Product"]), "families")
+    base = scored.join(inputs.drivers, "key", "left")
+    history = inputs.invoices if inputs.history is None else inputs.history
+    customers = None if inputs.history is None else inputs.invoices.select("customer_bill_to_id").distinct()
+    top = top_products(history, customers, products_since).drop("top_profit")
     names = inputs.product_names.select(
         F.col("product_key").cast("string").alias("Top Product"), F.col("product_name").alias("Top Product Name")
     ).distinct()
-    base = attach(base, names, ["Top Product"], hot=True)
+    base = attach(base, of_keys(attach(top, names, ["Top Product"], hot=True)), ["key"], check=False)
+    orders = open_orders(inputs.orders, inputs.products, order_start, order_end)
+    base = membership(base, open_keys(orders, families), ["key"], "Open Order Flag", "Yes", "No")
+    totals = scored.select(customer, "value_at_risk")
+    base = attach(base.withColumn("Customer", customer), customer_table(inputs, totals, lob), ["Customer"], check=False, hot=True)
+
+    slim = with_order_risk(scored, last).select("key", "churn_prob", "churn_risk")
+    base = _banded(with_order_risk(base, last), slim, None, "key").withColumn("LOB", F.lit(lob))
+    # Families are few; a key without a top product has product "0" and its name, if there is one.
+    base = attach(base.withColumn("Product", product), families, ["Product"], check=False, hot=True)
+    unnamed = names.where(F.col("Top Product") == "0").agg(F.max("Top Product Name")).scalar()
+    base = base.withColumn("Top Product Name", F.when(F.col("Top Product").isNull(), unnamed).otherwise(F.col("Top Product Name")))
+    base = base.withColumn("Top Product", F.coalesce("Top Product", F.lit("0")))
     return base.select(
         "key", F.lit(SCORECARD_SOURCE).alias("AI_Source"), "LOB", "Region", "District", "General Manager",
         "Sales Manager", "Seller", "Customer", "Customer Name", "`Product Family Code`", "Horizontal",

@@ -1,6 +1,12 @@
 """Wide rows are not shuffled for lookups that are small, and no key's rows twice."""
 
-from workload import views
+import re
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from tenderlake.plans import scorecard
+from workload import scorecard_queries, views
 
 
 def plan(df):
@@ -9,3 +15,43 @@ def plan(df):
 
 def test_awards_do_not_shuffle_the_offers(spark, sf_dir):
     assert "SortMergeJoin [fiscal" not in plan(views.raw_bids(spark, sf_dir))
+
+
+def test_drivers_are_ranked_within_the_row(spark):
+    rows = [("a", "gap_mean", 0.5), ("a", "margin", 0.5), ("a", "other", 9.0), ("b", "margin", -1.0)]
+    parts = spark.createDataFrame(rows, "key string, feature string, contribution double")
+    pairs = [("Order pattern", "gap_mean"), ("Margin", "margin")]
+    top = scorecard.top_drivers(parts, pairs, 3)
+    assert plan(top).count("Exchange") == 1
+    assert sorted(map(tuple, top.collect())) == [
+        ("a", "Margin", "Order pattern", None), ("b", "Margin", "Order pattern", None)]
+    long = scorecard.class_contributions(parts, pairs)
+    assert sorted(map(tuple, long.collect())) == [
+        ("a", "Margin", 0.5), ("a", "Order pattern", 0.5), ("b", "Margin", 0.0), ("b", "Order pattern", 0.0)]
+
+
+def test_industry_of_the_last_day_takes_one_shuffle(spark):
+    day = date(2000, 1, 1)
+    rows = [(1, day, "B"), (1, day, "A"), (1, day, None), (1, None, "0"), (1, date(1999, 1, 1), "0"),
+            (2, day, None), (2, date(1999, 1, 1), "X"), (3, None, "N")]
+    found = scorecard.customer_industry(
+        spark.createDataFrame(rows, "customer_bill_to_id long, billing_date date, uic_industry_group_name string"))
+    assert plan(found).count("Exchange") == 1
+    assert sorted(map(tuple, found.collect())) == [("1", "A"), ("2", None), ("3", "N")]
+
+
+def test_card_is_not_shuffled_by_products(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(scorecard_queries.card(spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin [key#" in text
+    assert not re.search(r"SortMergeJoin \[Customer#\d+, (Product|family_code)#", text)
+
+
+def test_keys_of_customers_and_products(spark):
+    rows = spark.createDataFrame([("1", "a_b", "x"), ("1_a", "b", "y"), (None, "c", "z"), ("2", None, "w")], "Customer string, Product string, v string")
+    found = scorecard.of_keys(rows).where(F.col("key").isNotNull())
+    assert [tuple(r) for r in found.select("key", "v").collect()] == [("1_a_b", "x")]
