@@ -45,7 +45,8 @@ def snapshot(invoices: DataFrame, as_of: date, target_days: int | None = None) -
     most. The target is 1 if no invoice follows within `target_days` after `as_of`.
     """
     last = F.lit(as_of).cast("date")
-    daily = invoices.groupBy("key", "billing_date").agg(
+    # Gaps look back and the target ahead by its days: later invoices say nothing.
+    daily = invoices.where(F.col("billing_date") <= F.date_add(last, target_days or 0)).groupBy("key", "billing_date").agg(
         F.sum("inv_delivered_gp").alias("profit"),
         F.sum("quantity").alias("quantity"),
         F.count("*").alias("lines"),

@@ -5,7 +5,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tenderlake.plans import scorecard
+from tenderlake.plans import churn, scorecard
 from workload import scorecard_queries, views
 
 
@@ -55,3 +55,14 @@ def test_keys_of_customers_and_products(spark):
     rows = spark.createDataFrame([("1", "a_b", "x"), ("1_a", "b", "y"), (None, "c", "z"), ("2", None, "w")], "Customer string, Product string, v string")
     found = scorecard.of_keys(rows).where(F.col("key").isNotNull())
     assert [tuple(r) for r in found.select("key", "v").collect()] == [("1_a_b", "x")]
+
+
+def test_snapshot_reads_invoices_up_to_its_target(spark):
+    rows = [("1_a", date(1997, 1, 1)), ("1_a", date(1997, 1, 11)), ("1_a", date(1998, 6, 30)), ("1_a", None),
+            ("2_a", date(1997, 1, 1)), ("2_a", date(1998, 7, 1)), ("3_a", date(1999, 1, 1)), ("4_a", None)]
+    invoices = spark.createDataFrame(rows, "key string, billing_date date").select(
+        "*", F.lit(1.0).alias("inv_delivered_gp"), F.lit(2.0).alias("quantity"), F.lit("s").alias("uic_industry_group_name"))
+    found = churn.snapshot(invoices, date(1997, 6, 30), churn.YEAR)
+    assert "1998-06-30" in re.findall(r"Filter .*", plan(found))[-1]
+    assert sorted(map(tuple, found.select("key", "target", "profit", "gap_mean").collect())) == [
+        ("1_a", 0.0, 2.0, 10.0), ("2_a", 1.0, 1.0, None)]
