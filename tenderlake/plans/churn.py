@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -106,7 +106,8 @@ def fit(table: DataFrame, run_date: date, as_of: date, count: int = 100, depth:
     """A bundle fitted on the customers of all folds but `held_out`; `table` is a written snapshot with targets."""
     use_checkpoints(table.sparkSession)
     seen = modeling.clean_model_table(table.where(customer_fold() != held_out))
-    model = Pipeline(stages=[modeling.preparation(seen), modeling.churn_classifier(count, depth, boosted)]).fit(seen)
+    prepare = modeling.preparation(seen).fit(seen)
+    model = PipelineModel([prepare, modeling.churn_classifier(count, depth, boosted).fit(prepare.transform(modeling.spread(seen)))])
     columns = [(c, t) for c, t in table.dtypes if c not in modeling.NOT_FEATURES]
     categories = []
     for stage in model.stages[0].stages if isinstance(model.stages[0], PipelineModel) else model.stages:

@@ -34,6 +34,14 @@ def test_no_test_rows_have_no_r_squared(spark):
     assert modeling.r_squared(scored) == pytest.approx(0.5)
 
 
+def test_training_rows_are_spread_over_tasks(spark):
+    rows = spark.range(100, numPartitions=2)
+    assert modeling.spread(rows, 50).rdd.getNumPartitions() == 2
+    wide = modeling.spread(rows, 10)
+    assert [len(p) for p in wide.rdd.glom().collect()] == [10] * 10
+    assert wide.distinct().count() == 100
+
+
 def test_infinite_values_are_filled(spark):
     raw = spark.createDataFrame([("a", float("inf")), ("b", 3.0)], "key string, n double")
     table = modeling.clean_model_table(raw).withColumn("target", F.lit(1.0))
