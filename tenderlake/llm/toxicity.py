@@ -18,6 +18,7 @@ labels teach nothing. Without documents of both labels all scores are 0.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -39,6 +40,8 @@ FOLDS = 5
 _LENGTH = 256
 _AT_ONCE = 400_000
 _FLUSH = 400_000
+# Words, or places of sequences, that the fit holds doubles of at a time; a multiple of _LENGTH.
+_FIT_AT_ONCE = 1 << 17
 _EPOCHS = 80
 
 
@@ -170,11 +173,12 @@ def _markers(counts: DataFrame) -> tuple[list[bytes], int, int]:
 
 
 def _chain_rows(sample: DataFrame, each: int) -> tuple[list[list[bytes]], np.ndarray]:
+    """Texts as words, each different word held once, and whether they are toxic."""
     order = [F.xxhash64("key"), "text"]
-    texts, labels = [], []
+    texts, labels, known = [], [], {}
     for toxic in (True, False):
-        for row in sample.where(F.col("toxic") == toxic).orderBy(*order).limit(each).select("text").collect():
-            texts.append(words(bytes(row["text"])))
+        for row in sample.where(F.col("toxic") == toxic).orderBy(*order).limit(each).select("text").toLocalIterator():
+            texts.append([known.setdefault(w, w) for w in words(bytes(row["text"]))])
             labels.append(toxic)
     return texts, np.array(labels, bool)
 
@@ -192,23 +196,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     few = _sampled(docs, labels, key, text, label, min(each, CHAIN_SAMPLE), held_out)
     texts, toxic = _chain_rows(few, CHAIN_SAMPLE)
     active = Remembered(lambda w: [numbers[f] for f in features(w) if f in numbers])
-    place, feature, tokens, lengths, at = [], [], [], [], 0
+    place, feature, tokens, at = array("q"), array("q"), array("q"), 0
     for t, bad in zip(texts, toxic):
-        lengths.append(np.zeros(len(t)))
         for i, found in enumerate(map(active.__getitem__, t)):
             if found:
-                place += [at + i] * len(found)
-                feature += found
+                place.extend([at + i] * len(found))
+                feature.extend(found)
                 if bad:
                     tokens.append(at + i)
         at += -(-len(t) // _LENGTH) * _LENGTH
-    zeros, mask = sequences(lengths)
-    shape = (zeros.shape[1], _LENGTH)
-    y = np.zeros(shape)
-    y.reshape(-1)[tokens] = 1
-    weights, bias, chain = _learned(np.array(place, np.int64), np.array(feature, np.int64), len(markers), mask, np.ascontiguousarray(y.T))
+    weights, bias, chain = _learned(np.array(place, np.int64), np.array(feature, np.int64), len(markers), [len(t) for t in texts], np.array(tokens, np.int64))
     model = Model(dict(zip(markers, weights.tolist())), bias, chain)
-    x = np.array([summary(m) for m in model.marginals(texts)])
+    x = np.array([summary(m) for group in _groups(texts) for m in model.marginals(group)])
     counts = np.array([(~toxic).sum(), toxic.sum()])
     share = _toxic_share(docs, labels, key, label, held_out)
     prior = (n_clean + n_toxic) * np.array([1 - share, share]) / np.maximum(counts, 1)
@@ -216,18 +215,52 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return model
 
 
-def _learned(place: np.ndarray, feature: np.ndarray, n: int, mask: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float, Chain]:
-    """Weights, bias and chain by gradient ascent with running moments; `place` counts sequence by sequence."""
+def _groups(texts: list[list[bytes]]) -> Iterator[list[list[bytes]]]:
+    """The texts in groups of about `_FIT_AT_ONCE` words."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t)
+        if size >= _FIT_AT_ONCE:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _blocks(place: np.ndarray, lengths: list[int], tokens: np.ndarray) -> list[tuple[int, slice, np.ndarray, np.ndarray]]:
+    """Runs of sequences: the first place, their part of `place` (which ascends), mask and labels as (position, sequence)."""
+    starts = np.concatenate([[0], np.cumsum([-(-n // _LENGTH) * _LENGTH for n in lengths])]).astype(np.int64)
+    mask, labels = np.zeros(starts[-1], bool), np.zeros(starts[-1], bool)
+    for at, n in zip(starts, lengths):
+        mask[at:at + n] = True
+    labels[tokens] = True
+    blocks = []
+    for first in range(0, len(mask), _FIT_AT_ONCE):
+        end = min(first + _FIT_AT_ONCE, len(mask))
+        own = slice(*np.searchsorted(place, [first, end]))
+        turned = [np.ascontiguousarray(x[first:end].reshape(-1, _LENGTH).T) for x in (mask, labels)]
+        blocks.append((first, own, *turned))
+    return blocks
+
+
+def _learned(place: np.ndarray, feature: np.ndarray, n: int, lengths: list[int], tokens: np.ndarray) -> tuple[np.ndarray, float, Chain]:
+    """Weights, bias and chain by gradient ascent with running moments; `place` counts sequence by sequence.
+
+    The gradient is summed over blocks of sequences, so that the driver holds the doubles of one block only.
+    """
     theta = np.concatenate([np.full(n, 1.0), [-4.0, -2.0, 0.0, 0.0, 0.0]])
     first, second = np.zeros_like(theta), np.zeros_like(theta)
-    size = mask.shape[1] * _LENGTH
+    blocks = _blocks(place, lengths, tokens)
     for step in range(1, _EPOCHS + 1):
-        flat = np.bincount(place, weights=theta[feature], minlength=size) + theta[n]
-        scores = flat.reshape(-1, _LENGTH).T
         chain = Chain(theta[n + 1:n + 4], theta[n + 4])
-        by_score, by_transition, by_start = chain.gradient(scores, mask, labels)
-        spread = np.ascontiguousarray(by_score.T).reshape(-1)
-        slope = np.concatenate([np.bincount(feature, weights=spread[place], minlength=n), [spread.sum()], by_transition, [by_start]]) - 0.1 * theta
+        slope = -0.1 * theta
+        for start, own, mask, labels in blocks:
+            at, known = place[own] - start, feature[own]
+            flat = np.bincount(at, weights=theta[known], minlength=mask.size) + theta[n]
+            by_score, by_transition, by_start = chain.gradient(flat.reshape(-1, _LENGTH).T, mask, labels.astype(float))
+            spread = np.ascontiguousarray(by_score.T).reshape(-1)
+            slope += np.concatenate([np.bincount(known, weights=spread[at], minlength=n), [spread.sum()], by_transition, [by_start]])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         theta = theta + 0.2 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return theta[:n], float(theta[n]), Chain(theta[n + 1:n + 4], float(theta[n + 4]))

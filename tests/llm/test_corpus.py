@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from array import array
 from itertools import combinations
@@ -362,6 +363,22 @@ def test_toxicity_learns_markers(spark, empty):
     assert toxicity.scores(empty, labels).count() == 0
 
 
+def test_toxicity_fit_holds_doubles_of_a_block(spark, monkeypatch):
+    # A million words: whole arrays of doubles took over 200 MB of the driver.
+    monkeypatch.setattr(toxicity, "_EPOCHS", 2)
+    rows = [(i, " ".join(["plain words here", "vexatious" if i % 4 == 0 else "harmless"] * 700)) for i in range(360)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(docs, labels, held_out=None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert b"=vexatious" in model.weights
+    assert peak < 100e6
+
+
 def test_toxic_share_is_that_of_all_labels(spark):
     # Nothing tells the labels apart, so every score is the share of toxic documents; labels without documents do not count.
     docs = spark.createDataFrame([(i, "the river runs past the old mill") for i in range(1000)], "doc_id long, text string")
