@@ -41,19 +41,23 @@ def customer_fold(key: str = "key", folds: int = FOLDS) -> Column:
 def snapshot(invoices: DataFrame, as_of: date, target_days: int | None = None) -> DataFrame:
     """One row per key with an invoice up to `as_of`: what its invoices say, and the target.
 
-    Invoices are summed to key and day first, so the window over a key's days holds a row per day at
-    most. The target is 1 if no invoice follows within `target_days` after `as_of`.
+    Invoices are summed to key, day and segment by hashing, then sorted once: by key and day, for the sums of
+    a day, the gaps between days and the sums of a key. A key has no more rows there than days and segments.
+    The target is 1 if no invoice follows within `target_days` after `as_of`.
     """
     last = F.lit(as_of).cast("date")
     # Gaps look back and the target ahead by its days: later invoices say nothing.
-    daily = invoices.where(F.col("billing_date") <= F.date_add(last, target_days or 0)).groupBy("key", "billing_date").agg(
+    parts = invoices.where(F.col("billing_date") <= F.date_add(last, target_days or 0)).groupBy(
+        "key", "billing_date", F.col("uic_industry_group_name").alias("segment")
+    ).agg(
         F.sum("inv_delivered_gp").alias("profit"),
         F.sum("quantity").alias("quantity"),
         F.count("*").alias("lines"),
         F.sum(ratio(F.col("inv_delivered_gp"), "quantity")).alias("price"),
         F.count(ratio(F.col("inv_delivered_gp"), "quantity")).alias("priced"),
-        F.min("uic_industry_group_name").alias("segment"),
     )
+    sums = [F.sum(c).alias(c) for c in ("profit", "quantity", "lines", "price", "priced")]
+    daily = parts.repartition("key").groupBy("key", "billing_date").agg(*sums, F.min("segment").alias("segment"))
     before = F.lag("billing_date").over(Window.partitionBy("key").orderBy("billing_date"))
     daily = daily.withColumn("gap", F.datediff("billing_date", before))
     known, recent = F.col("billing_date") <= last, F.col("billing_date") > F.date_sub(last, YEAR)
@@ -107,7 +111,8 @@ def fit(table: DataFrame, run_date: date, as_of: date, count: int = 100, depth:
     use_checkpoints(table.sparkSession)
     seen = modeling.clean_model_table(table.where(customer_fold() != held_out))
     prepare = modeling.preparation(seen).fit(seen)
-    model = PipelineModel([prepare, modeling.churn_classifier(count, depth, boosted).fit(prepare.transform(modeling.spread(seen)))])
+    classifier = modeling.churn_classifier(count, depth, boosted)
+    model = PipelineModel([prepare, modeling.fit_prepared(classifier, prepare.transform(modeling.spread(seen)))])
     columns = [(c, t) for c, t in table.dtypes if c not in modeling.NOT_FEATURES]
     categories = []
     for stage in model.stages[0].stages if isinstance(model.stages[0], PipelineModel) else model.stages:

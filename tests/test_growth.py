@@ -5,8 +5,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tenderlake.plans import churn, scorecard
-from workload import scorecard_queries, views
+from tenderlake.plans import churn, modeling, scorecard
+from workload import churn_queries, scorecard_queries, views
 
 
 def plan(df):
@@ -66,3 +66,36 @@ def test_snapshot_reads_invoices_up_to_its_target(spark):
     assert "1998-06-30" in re.findall(r"Filter .*", plan(found))[-1]
     assert sorted(map(tuple, found.select("key", "target", "profit", "gap_mean").collect())) == [
         ("1_a", 0.0, 2.0, 10.0), ("2_a", 1.0, 1.0, None)]
+
+
+def test_snapshot_sorts_once_and_keeps_days_of_several_segments(spark):
+    day = date(1997, 1, 1)
+    rows = [("1_a", day, "z"), ("1_a", day, "b"), ("1_a", day, None), ("1_a", date(1997, 1, 5), "c"), (None, day, None)]
+    invoices = spark.createDataFrame(rows, "key string, billing_date date, uic_industry_group_name string").select(
+        "*", F.lit(3.0).alias("inv_delivered_gp"), F.lit(2.0).alias("quantity"))
+    found = churn.snapshot(invoices, date(1997, 6, 30))
+    assert len(re.findall(r"\bSort \[", plan(found))) == 1
+    picked = found.select("key", "profit", "quantity", "lines", "price_level", "gap_mean", "segment")
+    assert sorted(map(tuple, picked.collect()), key=str) == [
+        ("1_a", 12.0, 8.0, 4.0, 1.5, 4.0, "b"), (None, 3.0, 2.0, 1.0, 1.5, None, None)]
+
+
+def test_fitting_reads_prepared_rows_that_are_computed_once(spark):
+    class Estimator:
+        def fit(self, rows):
+            self.rows, self.level = rows, rows.storageLevel
+            return "model"
+
+    prepared = spark.range(3).select(F.col("id").alias("features"), F.lit(1.0).alias("target"), F.lit("x").alias("key"))
+    estimator = Estimator()
+    assert modeling.fit_prepared(estimator, prepared) == "model"
+    assert estimator.level.useDisk and not estimator.level.useMemory
+    assert estimator.rows.columns == ["features", "target"] and not estimator.rows.storageLevel.useDisk
+
+
+def test_score_checks_write_no_leaves(spark, sf_dir):
+    folder = sf_dir + "/../sf0.001"
+    checks = churn_queries.score_checks(spark, folder)
+    assert (spark.sparkContext.applicationId, folder, "churn-scored") not in views._WRITTEN
+    assert "UDF" in plan(checks) and "leaf" not in plan(checks)
+    assert checks.first()["out_of_range"] == 0
