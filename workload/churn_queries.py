@@ -87,7 +87,8 @@ def scored_today(s, d):
 
 def score_checks(s, d):
     """Keys scored today and scores out of range; the saved model loads with all its columns."""
-    return scored_today(s, d).agg(
+    # Only scores are asked for: leaves and vectors of all rows are neither computed nor written.
+    return churn.apply(kept(s, d), today(s, d)).select("key", "churn_prob").agg(
         F.count_distinct("key").alias("keys"),
         F.count_if(F.col("churn_prob").isNull() | ~F.col("churn_prob").between(0.0, 1.0)).alias("out_of_range"),
         F.lit(len(kept(s, d).columns)).alias("columns"),
