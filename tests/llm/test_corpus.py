@@ -293,6 +293,15 @@ def test_groups_of_lines_against_all_pairs(spark):
     assert {r["doc_id"] for r in lines.digests(docs).collect() if r["n_removed"]} == removed
 
 
+def test_edit_check_cuts_each_text_once(spark):
+    base = " ".join(f"word{i}" for i in range(20))
+    rows = [(1, 2, base, base), (1, 3, base, base.replace("word7", "wort7")), (1, 4, base, f"{base} and very much more"), (1, 5, base, base.replace("word", "thing")), (1, 6, "", "")]
+    pairs_ = spark.createDataFrame(rows, "u long, v long, left_text string, right_text string")
+    found = lines._alike(pairs_, 0.97)
+    assert pairs(found, "u", "v") == [(1, 2), (1, 3), (1, 6)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+
+
 def test_most_near_equal_lines_are_found(spark):
     """Of pairs whose edit similarity is 0.97 or more, half of them with letters strewn up to the limit; README has the measured shares."""
     random = Random(11)
