@@ -25,7 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,9 @@ CHAIN_SAMPLE = 1_500
 MARKERS = 20_000
 FOLDS = 5
 _LENGTH = 256
-_AT_ONCE = 400_000
+_AT_ONCE = 1 << 16
+# Rows that Spark hands to a scoring task at a time; a row may hold its text twice.
+_BATCH = 1_000
 _FLUSH = 400_000
 # Words, or places of sequences, that the fit holds doubles of at a time; a multiple of _LENGTH.
 _FIT_AT_ONCE = 1 << 17
@@ -292,12 +294,20 @@ def _spans(text: bytes, marginals: np.ndarray) -> list[dict]:
     return [{"start": places[r[0]][0], "end": places[r[-1]][1]} for r in runs]
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Arrow batches of `_BATCH` rows at most: workers stay alive beside the next job and keep what they took."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    spark.conf.set(name, str(min(rows, _BATCH) if rows > 0 else _BATCH))
+
+
 def tagged(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` (all but the text by default) of each row with `score` and `toxic_spans`."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     rows = docs.select(utf8(text).alias("text"), F.struct(*[F.col(column(c)) for c in keep]).alias("row"))
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("toxic_spans", _SPANS)])
     spans_kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    _small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -302,6 +302,51 @@ def test_edit_check_cuts_each_text_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
 
 
+def test_fingerprints_at_the_widths_of_counts(spark):
+    """Lines with as many different pieces as a width of counts holds, and one more or fewer."""
+    random = Random(3)
+    word = lambda: "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12))
+    texts = [" ".join(word() for _ in range(n // 2)) + (" " + chr(0x4E00) if n % 2 else "") for n in (1, 2, 62, 63, 64, 65, 254, 255, 256, 257, 2046, 2047, 2048, 2050)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = dict(pairs(lines._hashed(lines._lines(docs, "doc_id", "text")), "key", "fp"))
+    assert {i: fp % (1 << 64) for i, fp in found.items()} == {i: line_hash(t.strip()) for i, t in enumerate(texts)}
+
+
+def test_fingerprints_compare_all_counts_at_once():
+    """Long generated code is not compiled by the JVM: one comparison per number of counts, none per bit."""
+    for width in (7, 9, 12, 31):
+        assert str(lines._majority(width)).count(">") <= 4 * len(lines._shifts(width))
+
+
+def test_counts_rule_out_no_near_copy_and_most_others(spark):
+    random = Random(9)
+    letters = "eantiosr bcdefgé"
+    rows = []
+    for n in range(120):
+        text = "".join(random.choice(letters) for _ in range(random.randrange(40, 900)))
+        copy, edits = text, random.randrange(1, 12)
+        for _ in range(edits):
+            at = random.randrange(len(copy))
+            copy = copy[:at] + random.choice(("", "e", "an")) + copy[at + 1:]
+        rows.append((text, copy, 2 * edits))
+    rows.append(("e" * 600, "e" * 300 + "a" * 300, 300))
+    found = spark.createDataFrame(rows, "a string, b string, most int").select(lines._counted(F.col("a")).alias("x"), lines._counted(F.col("b")).alias("y"), "most")
+    assert found.where(lines._counts_apart("x", "y") > F.col("most") * 2).count() == 0
+    others = spark.createDataFrame([(u, v) for (u, _, _), (v, _, _) in zip(rows, rows[1:])], "a string, b string")
+    most = F.greatest(F.length("a"), F.length("b")) * 0.03
+    apart = others.select(lines._counted(F.col("a")).alias("x"), lines._counted(F.col("b")).alias("y"), most.alias("most")).where(lines._counts_apart("x", "y") > F.col("most") * 2)
+    assert apart.count() > 100
+
+
+def test_toxicity_takes_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    docs = spark.createDataFrame([(i, "some words") for i in range(3)], "doc_id long, text string")
+    assert toxicity.tagged(docs, toxicity.Model()).count() == 3 and int(spark.conf.get(name)) <= 1000
+    spark.conf.set(name, before)
+
+
 def test_most_near_equal_lines_are_found(spark):
     """Of pairs whose edit similarity is 0.97 or more, half of them with letters strewn up to the limit; README has the measured shares."""
     random = Random(11)
