@@ -302,6 +302,18 @@ def test_edit_check_cuts_each_text_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
 
 
+def test_edits_by_word_are_taken_before_whole_texts(spark):
+    """Word by word the edits are counted of equally many words only; a shifted word is left to the whole comparison."""
+    words = [f"word{i}" for i in range(60)]
+    base, moved = " ".join(words), " ".join([*words[1:], "word0"])
+    rows = [(1, 2, base, base.replace("word7 ", "wort7 ")), (1, 3, base, moved), (1, 4, base, " ".join(words[1:] + ["x"])), (1, 5, base, base + " x"), (1, 6, base, base.replace("word", "thing"))]
+    frame = spark.createDataFrame(rows, "u long, v long, left_text string, right_text string")
+    edits = frame.select("v", lines._word_edits(F.split("left_text", " "), F.split("right_text", " ")).alias("n"))
+    found = dict(pairs(edits, "v", "n"))
+    assert found[2] == 1 and found[3] > 60 and found[5] is None
+    assert pairs(lines._alike(frame, 0.97), "u", "v") == [(1, v) for _, v, a, b in rows if edit_distance(a, b) <= int(0.03 * max(len(a), len(b)) + 1e-9)]
+
+
 def test_fingerprints_at_the_widths_of_counts(spark):
     """Lines with as many different pieces as a width of counts holds, and one more or fewer."""
     random = Random(3)
