@@ -23,16 +23,20 @@ from tenderlake.fixed_values import (
 )
 from tenderlake.functions.aggregates import top_by, total
 from tenderlake.functions.columns import mentions, non_negative, ratio, split_once
-from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, unique_on, within_last_year
+from tenderlake.operators.joins import attach, membership, one_row_per, only_listed, splittable, unique_on, within_last_year
 from tenderlake.operators.windows import band_label, top_columns
 from tenderlake.storage import materialize
 
 
 def value_at_risk(invoices: DataFrame, keys: DataFrame) -> DataFrame:
-    """Profit of the last year up to each key's last transaction."""
-    daily = invoices.groupBy("key", "billing_date").agg(F.sum("inv_delivered_gp").alias("inv_delivered_gp"))
+    """Profit of the last year up to each key's last transaction.
+
+    Invoices meet their key as they are, and one shuffle serves the join and the sums; summing them to days
+    before would take another for rows that are hardly fewer. AQE splits a hot key.
+    """
     recent = within_last_year(
-        daily, keys.select("key", "last_trx_date", "diff_mean", "diff_std"), "billing_date", "last_trx_date"
+        invoices.select("key", "billing_date", "inv_delivered_gp"),
+        splittable(keys.select("key", "last_trx_date", "diff_mean", "diff_std"), ["key"]), "billing_date", "last_trx_date",
     )
     return recent.groupBy("key").agg(
         F.max("last_trx_date").alias("last_trx_date"),
@@ -160,16 +164,17 @@ def open_orders(orders: DataFrame, products: DataFrame, start, end, match: str =
     `match="product"` uses the latest date of the customer's product; `match="customer"` accepts a
     line dated like the latest order of any of the customer's products.
     """
-    days = orders.groupBy("customer_bill_to_id", "product_code", "order_entry_date").agg(
-        F.max(~F.col("line_item_status").isin(CLOSED_ORDER_STATUSES)).alias("open")
-    )
-    last = days.groupBy("customer_bill_to_id", "product_code").agg(
-        F.max(F.struct("order_entry_date", "open")).alias("_last")
-    )
+    open_line = ~F.col("line_item_status").isin(CLOSED_ORDER_STATUSES)
     if match == "product":
+        # The largest pair of date and flag: the last date, and whether any of its lines is open.
+        last = orders.groupBy("customer_bill_to_id", "product_code").agg(
+            F.max(F.struct("order_entry_date", open_line.alias("open"))).alias("_last")
+        )
         lines = last.select("customer_bill_to_id", "product_code", "_last.*")
     else:
-        dates = last.select("customer_bill_to_id", F.col("_last.order_entry_date")).distinct()
+        days = orders.groupBy("customer_bill_to_id", "product_code", "order_entry_date").agg(F.max(open_line).alias("open"))
+        dates = days.groupBy("customer_bill_to_id", "product_code").agg(F.max("order_entry_date").alias("order_entry_date"))
+        dates = dates.select("customer_bill_to_id", "order_entry_date").distinct()
         lines = only_listed(days, dates, ["customer_bill_to_id", "order_entry_date"])
     lines = lines.where(
         F.col("open") & F.col("order_entry_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
@@ -295,11 +300,13 @@ def open_keys(orders: DataFrame, families: DataFrame) -> DataFrame:
 def scorecard(inputs: ScorecardInputs, lob: str, products_since, order_start, order_end) -> DataFrame:
     """One row per scored key with risk, value, product, sales and service details."""
     lob = lob.upper()
-    # Read by the keys and the last date, so written once.
-    value = materialize(value_at_risk(inputs.invoices, inputs.score_keys), "value", "zstd")
     # Read by the cuts, the customer totals and the card. Columns that follow from others are added where they are read.
-    scored = materialize(inputs.scores.select("key", "churn_prob").join(value, "key", "left"), "scores", "zstd")
-    last = value.agg(F.max("last_trx_date"))
+    # Values of keys without a score count for the last date only; value and scores are written as one table.
+    value = value_at_risk(inputs.invoices, inputs.score_keys).withColumnRenamed("key", "_key")
+    scores = inputs.scores.select("key", "churn_prob", F.lit(True).alias("_scored"))
+    met = materialize(scores.join(value, F.col("key") == F.col("_key"), "full").drop("_key"), "scores", "zstd")
+    last = met.agg(F.max("last_trx_date"))
+    scored = met.where("_scored").drop("_scored")
     customer, product = split_once("key", "Customer", "Product")
 
     # What belongs to a key is joined by the key: the rows are shuffled for it once, while they are few columns.
