@@ -293,6 +293,31 @@ def test_groups_of_lines_against_all_pairs(spark):
     assert {r["doc_id"] for r in lines.digests(docs).collect() if r["n_removed"]} == removed
 
 
+def test_a_line_just_short_of_room_for_an_edit_meets_a_longer_one(spark):
+    """Of 34 characters one may be missing, so lines of 33 are compared too; of 33 characters none may differ."""
+    random, found = Random(11), []
+    while len(found) < 6:
+        text = " ".join(random.sample("abcdefghijklmnopqrstuvwxyz", 17))
+        at = random.randrange(0, 33, 2)
+        longer, other = text[: at + 1] + text[at] + text[at + 1 :], text[:at] + "é" + text[at + 1 :]
+        if (line_hash(text) ^ line_hash(longer)).bit_count() <= 6:
+            found.append((text, longer, other))
+    assert {len(t) for t, _, _ in found} == {len(o) for _, _, o in found} == {33} and {len(l) for _, l, _ in found} == {34}
+    rows = [(3 * i + k, t) for i, texts in enumerate(found) for k, t in enumerate(texts)]
+    removed = {r["doc_id"] for r in lines.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["n_removed"]}
+    assert removed == {3 * i + 1 for i in range(len(found))}
+
+
+def test_bits_are_counted_by_few_numbers(spark):
+    """Adders take about five operations a piece for all 64 bits, and never a loop over the pieces of a usual line."""
+    rows = spark.createDataFrame([(1, 3, [7, 3, 1]), (2, 1, [-1]), (3, 255, [1 << 62] * 200 + [5] * 55), (4, 0, None)], "key long, n int, hashes array<long>")
+    planes = lines._planes(rows, ["key", "n"])
+    assert planes.columns[2:] == [f"plane{i}" for i in range(8)]
+    found = dict(pairs(planes.select("key", lines._over_half(8).alias("fp")), "key", "fp"))
+    assert found == {1: 3, 2: -1, 3: 1 << 62, 4: 0}
+    assert "lambda" not in planes._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_edit_check_cuts_each_text_once(spark):
     base = " ".join(f"word{i}" for i in range(20))
     rows = [(1, 2, base, base), (1, 3, base, base.replace("word7", "wort7")), (1, 4, base, f"{base} and very much more"), (1, 5, base, base.replace("word", "thing")), (1, 6, "", "")]
